@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import quality_rules
+from lakeloom.llm import quality_rules, simhash
 
-QUERIES = {"op1_quality_rules": quality_rules.op1_quality_rules}
+QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op10_simhash": simhash.op10_simhash,
+}
 ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
