@@ -53,7 +53,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a work table and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with free_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -81,11 +82,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.full(max(n, 1), base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n] if n else out[:0]
+    """base^0 .. base^(n-1) modulo 2^64; the longest asked for up to 4M is kept."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        out = np.full(max(n, 1), base, dtype=np.uint64)
+        out[0] = 1
+        held = np.multiply.accumulate(out)
+        if n <= 1 << 22:
+            _POWERS[base] = held
+    return held[:n]
 
 
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:
@@ -151,3 +160,48 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
         out *= np.uint64(_B2)
         out += words[j : j + n]
     return mix(out)
+
+
+def pieces(batches, column: int = 1, most: int = 1 << 20):
+    """The batches cut between rows so that the texts of a piece take about most bytes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, off = buffers(batch.column(column))
+        begin = 0
+        while begin < batch.num_rows:
+            stop = max(begin + 1, int(np.searchsorted(off, off[begin] + most, "right")) - 1)
+            stop = min(stop, batch.num_rows)
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
+class Runs:
+    """Hashes of any run of words of a piece, from prefix sums over word hashes."""
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * powers(_B2, n), out=self.sums[1:])
+        self.inverse = powers(pow(_B2, -1, 1 << 64), n + 1)
+
+    def of(self, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hash of words[begin:stop], elementwise."""
+        return mix((self.sums[stop] - self.sums[begin]) * self.inverse[begin] + (stop - begin).astype(np.uint64))
+
+
+def free_shuffles(spark: SparkSession):
+    """While open, shuffle files go when the statement that wrote them ends."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def scope():
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, "true")
+        try:
+            yield
+        finally:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+    return scope()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import quality_rules, simhash
+from lakeloom.llm import quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
