@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import quality_rules, simhash, substring_dedup
+from lakeloom.llm import decontaminate, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
-ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
+ORACLES = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op2_decontaminate": decontaminate.ORACLE,
+}
