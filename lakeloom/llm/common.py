@@ -205,3 +205,19 @@ def free_shuffles(spark: SparkSession):
             spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
     return scope()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, y): up to per_class labelled rows of each class, those of least hash.
+
+    keep: condition on the id column of labels (the learning folds). Bounded by
+    2 * per_class rows, so it may be broadcast. Rows without a label or an id are
+    left out; an id labelled twice counts under its least label.
+    """
+    known = labels.where(keep).where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label).cast("int").alias("y"))
+    picked = None
+    for y in (0, 1):
+        part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class)
+        picked = part if picked is None else picked.union(part)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(picked), "id")

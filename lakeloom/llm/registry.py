@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import decontaminate, quality_rules, simhash, substring_dedup
+from lakeloom.llm import decontaminate, language_id, quality_knn, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op4_language": language_id.op4_language,
+    "op5_quality": quality_knn.op5_quality,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {
