@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import decontaminate, language_id, quality_knn, quality_rules, simhash, substring_dedup, toxicity
+from lakeloom.llm import (
+    decontaminate,
+    language_id,
+    mixing,
+    quality_knn,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc_zip,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,10 +20,14 @@ QUERIES = {
     "op4_language": language_id.op4_language,
     "op5_quality": quality_knn.op5_quality,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_warc": warc_zip.op7_warc,
+    "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_decontaminate": decontaminate.ORACLE,
+    "op7_warc": warc_zip.ORACLE,
+    "op8_mixing": mixing.ORACLE,
 }
