@@ -5,6 +5,7 @@ from __future__ import annotations
 from lakeloom.llm import (
     decontaminate,
     language_id,
+    lm_scoring,
     mixing,
     quality_knn,
     quality_rules,
@@ -17,6 +18,7 @@ from lakeloom.llm import (
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_lm": lm_scoring.op3_lm,
     "op4_language": language_id.op4_language,
     "op5_quality": quality_knn.op5_quality,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
