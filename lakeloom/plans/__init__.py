@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-_NAMES = ("pricing",)
+_NAMES = ("pricing", "projection", "scalars", "joining")
 
 
 def modules() -> list:
