@@ -162,6 +162,22 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+#: Bytes of an Arrow batch between Spark and Python, whatever the number of rows.
+BATCH_BYTES = 4 << 20
+
+
+def in_arrow(df: DataFrame, f, schema) -> DataFrame:
+    """df.mapInArrow(f, schema) with batches bounded in bytes, so that long texts don't add up.
+
+    The bound is a setting of the session and stays; a smaller one is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = df.sparkSession.conf.get(key, None)
+    if held is None or not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(f, schema)
+
+
 def pieces(batches, column: int = 1, most: int = 1 << 20):
     """The batches cut between rows so that the texts of a piece take about most bytes."""
     for batch in batches:

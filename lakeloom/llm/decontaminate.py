@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffers, gram_hashes, let, pieces, stored, word_bounds, word_hashes
+from lakeloom.llm.common import buffers, gram_hashes, in_arrow, let, pieces, stored, word_bounds, word_hashes
 
 WINDOW, SHINGLE = 10, 5
 
@@ -143,7 +143,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     kind = items.schema[item_col].dataType.simpleString()
     rows = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
-    grams = stored(rows.mapInArrow(_windows(window, shingle), f"item {kind}, span string, size int, width int, place int, h long"), "windows")
+    grams = stored(in_arrow(rows, _windows(window, shingle), f"item {kind}, span string, size int, width int, place int, h long"), "windows")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     key_kind = docs.schema[id_col].dataType.simpleString()
     by_width = {r["width"]: r["n"] for r in grams.groupBy("width").agg(F.count_distinct("h").alias("n")).collect()}  # as many rows as shingle sizes
@@ -156,14 +156,14 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         held = table.select("width", "h").distinct().toPandas()
         return spark.sparkContext.broadcast({int(s): np.sort(g["h"].to_numpy()) for s, g in held.groupby("width")})
 
-    counted = texts.mapInArrow(_counts(widths, sent(grams)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = in_arrow(texts, _counts(widths, sent(grams)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     # a shingle that no document has drops its windows
     ranked = grams.join(counted, "h", "left").groupBy("span", "size", "width").agg(
         F.min(F.coalesce("n", F.lit(0))).alias("least"),
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "place")).alias("rare"),
     )
     prefix = stored(ranked.where("least > 0").select("span", "size", "width", "rare.h", "rare.place"), "prefix")
-    places = texts.mapInArrow(_places(widths, sent(prefix), window), f"id {key_kind}, h long, pos int, before int, reach int, around string")
+    places = in_arrow(texts, _places(widths, sent(prefix), window), f"id {key_kind}, h long, pos int, before int, reach int, around string")
     words = F.split("around", " ", -1)
     begin = F.col("before") - F.col("place")
     # positional and length bounds, then the words themselves

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import fold, pieces, stored
+from lakeloom.llm.common import fold, in_arrow, pieces, stored
 
 #: Documents and symbols of the sample per language; symbols of a block.
 SAMPLE_DOCS, SAMPLE_SYMBOLS, BLOCK = 64, 16_000, 1024
@@ -196,7 +196,7 @@ def predict(docs: DataFrame, langs: Languages | None, id_col: str = "doc_id", te
     """
     kind = docs.schema[id_col].dataType.simpleString()
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = held.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(langs)), f"id {kind}, lang_pred string, score double")
+    out = in_arrow(held, _predicted(docs.sparkSession.sparkContext.broadcast(langs)), f"id {kind}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import blank_table, buffers, fold, labelled_sample, pieces, stored, word_bounds, word_hashes
+from lakeloom.llm.common import blank_table, buffers, fold, in_arrow, labelled_sample, pieces, stored, word_bounds, word_hashes
 
 #: Labelled rows per class in the sample; latent dimensions; neighbours that vote.
 PER_CLASS, DIMENSIONS, NEIGHBOURS = 1500, 64, 15
@@ -99,7 +99,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(sample: DataFrame, dimensions: int = DIMENSIONS) -> Space | None:
     """The latent space of rows (id, text, y); None without rows."""
-    rows = sample.select("y", "text").mapInArrow(_counted, "y int, x binary").collect()  # bounded by the sample
+    rows = in_arrow(sample.select("y", "text"), _counted, "y int, x binary").collect()  # bounded by the sample
     if not rows:
         return None
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
@@ -150,7 +150,7 @@ def score(docs: DataFrame, space: Space | None, id_col: str = "doc_id", text_col
     """
     kind = docs.schema[id_col].dataType.simpleString()
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = held.mapInArrow(_voted(docs.sparkSession.sparkContext.broadcast(space), k), f"id {kind}, score double")
+    out = in_arrow(held, _voted(docs.sparkSession.sparkContext.broadcast(space), k), f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

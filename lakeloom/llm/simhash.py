@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import blank_table, buffers, stored, word_bounds
+from lakeloom.llm.common import blank_table, buffers, in_arrow, stored, word_bounds
 from lakeloom.llm.components import components
 
 #: Members of a bucket up to which all its pairs are compared at once.
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints(width), schema)
+    return in_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), _fingerprints(width), schema)
 
 
 def _parts(v: np.ndarray) -> np.ndarray:
@@ -164,7 +164,7 @@ def links(fps: DataFrame) -> DataFrame:
     key = F.shiftleft(F.col("seg").cast("long") * 32 + F.col("w.i"), 32).bitwiseOR(F.col("half").bitwiseAND(F.col("w.m")))
     variants = keyed.select(key.alias("key"), "fp")
     dealt = variants.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_bucket_links, "a long, b long").distinct()
+    return in_arrow(dealt, _bucket_links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:

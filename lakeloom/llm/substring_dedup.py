@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Runs, blank_table, buffers, gram_hashes, mix, pieces, stored, word_bounds, word_hashes
+from lakeloom.llm.common import Runs, blank_table, buffers, gram_hashes, in_arrow, mix, pieces, stored, word_bounds, word_hashes
 
 SPAN, GRAM = 20, 5
 
@@ -177,7 +177,7 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _met(rows: DataFrame) -> DataFrame:
     """Equal keys brought together and read in order."""
     dealt = rows.repartition("k1").sortWithinPartitions("k1", "k2", "id", "a")
-    return dealt.mapInArrow(_cover, "id long, a int, e int, kind int")
+    return in_arrow(dealt, _cover, "id long, a int, e int, kind int")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -187,9 +187,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
     smaller id, or earlier under the same id.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    met = stored(_met(texts.mapInArrow(_seeds(span, gram), _ROW)), "seeds")
+    met = stored(_met(in_arrow(texts, _seeds(span, gram), _ROW)), "seeds")
     runs = met.where(F.col("kind") == _SEED).groupBy("id").agg(F.collect_set(F.struct("a", "e")).alias("runs"))
-    extended = _met(texts.join(runs, "id").select("id", "text", "runs").mapInArrow(_windows(span), _ROW))
+    extended = _met(in_arrow(texts.join(runs, "id").select("id", "text", "runs"), _windows(span), _ROW))
     more = stored(extended.where(F.col("kind") == _SPAN), "extended")
     both = met.where(F.col("kind") == _SPAN).union(more)
     return both.groupBy("id").agg(F.collect_set(F.struct("a", "e")).alias("spans"))
@@ -250,7 +250,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
     rows = docs.select(whole, F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     met = rows.join(found, F.col("_id") == F.col("id"), "left").select(F.col("_row").alias("row"), F.col("_text").alias("text"), "spans")
     kind = docs.select(whole).schema["_row"].dataType.simpleString()
-    out = met.mapInArrow(_cut(joined), f"row {kind}, n_words long, n_removed long, kept_text string")
+    out = in_arrow(met, _cut(joined), f"row {kind}, n_words long, n_removed long, kept_text string")
     return out.select(*[F.col(f"row.`{c}`") if c != text_col else F.col("kept_text").alias(c) for c in cols], "n_words", "n_removed", "kept_text")
 
 

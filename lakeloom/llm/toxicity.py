@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import fold, labelled_sample, pieces, stored
+from lakeloom.llm.common import fold, in_arrow, labelled_sample, pieces, stored
 
 #: Labelled rows per class that the lexicon is learned from.
 PER_CLASS = 4000
@@ -189,7 +189,7 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Lexicon({}, exceptions, 1.0, -10.0 if not n1 else 0.0)
-    tally = sample.select("y", "text").mapInArrow(_beginnings, "term string, prev long, toxic long, clean long")
+    tally = in_arrow(sample.select("y", "text"), _beginnings, "term string, prev long, toxic long, clean long")
     summed = (
         tally.groupBy("term", "prev").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("c"))
         .groupBy("term").agg(F.least(F.count_if(F.col("prev") >= 0), F.sum("a")).alias("a"), F.sum("c").alias("c")).where("a > 3 AND a > c")
@@ -220,7 +220,7 @@ def weighed(docs: DataFrame, lexicon: Lexicon, *cols: str, text_col: str = "text
     spark = docs.sparkSession
     held = docs.select(F.struct(*cols).alias("row"), F.col(text_col).alias("text"))
     kind = held.schema["row"].dataType.simpleString()
-    return held.mapInArrow(_weighed(spark.sparkContext.broadcast(lexicon)), f"row {kind}, total double, n long")
+    return in_arrow(held, _weighed(spark.sparkContext.broadcast(lexicon)), f"row {kind}, total double, n long")
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

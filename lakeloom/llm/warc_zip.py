@@ -27,7 +27,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import new_path, pieces, stored
+from lakeloom.llm.common import in_arrow, new_path, pieces, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
@@ -153,7 +153,7 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
         "page_id", "url", "payload", "digest", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to")
     )
     folder = folder or new_path(pages.sparkSession, "archives")
-    return stored(told.mapInArrow(_written(folder), "path string, records long, bytes long"), "manifest")
+    return stored(in_arrow(told, _written(folder), "path string, records long, bytes long"), "manifest")
 
 
 def members(source, size: int) -> dict[str, tuple[int, int, int]]:
@@ -223,7 +223,7 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def records(paths: DataFrame) -> DataFrame:
     """(path, offset, length) of every record of the archives in a column path."""
-    return paths.select("path").repartition("path").mapInArrow(_located, "path string, offset long, length long")
+    return in_arrow(paths.select("path").repartition("path"), _located, "path string, offset long, length long")
 
 
 _READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload string"
@@ -274,7 +274,7 @@ def read(paths: DataFrame, with_payload: bool = True) -> DataFrame:
     """
     where = records(paths)
     dealt = where.repartition("path", F.floor(F.col("offset") / RANGE)).sortWithinPartitions("path", "offset")
-    return dealt.mapInArrow(_read(with_payload), _READ)
+    return in_arrow(dealt, _read(with_payload), _READ)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
