@@ -71,10 +71,12 @@ def apply_rows(df: DataFrame, f, schema: str | None = None, keep: Sequence[str]
                 if not got and keep_nulls:
                     got = [(None,) * len(names)]
                 rows += [(*(getattr(row, c) for c in keep), *(x if isinstance(x, (tuple, list)) else (x,))) for x in got]
-            yield pd.DataFrame(rows, columns=[*keep, *names])
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keep, *names])
         if hasattr(held, "close"):
             rest = [(*(None for _ in keep), *(x if isinstance(x, (tuple, list)) else (x,))) for x in held.close() or ()]
-            yield pd.DataFrame(rest, columns=[*keep, *names])
+            if rest:
+                yield pd.DataFrame(rest, columns=[*keep, *names])
 
     return df.mapInPandas(run, f"{kept}, {schema}" if kept else schema)
 
@@ -145,7 +147,8 @@ def apply_groups(df: DataFrame, keys: Sequence[str], f: Callable, schema: str, s
                 if len(out) >= 10_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
-        yield pd.DataFrame(out, columns=names)
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return dealt.mapInPandas(run, schema)
 
