@@ -184,11 +184,11 @@ def entries(cases: dict[str, tuple[int, int]], share: float) -> dict[str, float]
 
 
 def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from rows (id, text, y). Without toxic or clean rows it is empty."""
+    """A lexicon from rows (id, text, y). Without toxic or clean rows, or a sure entry, it is empty and rejects nothing."""
     size = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
-        return Lexicon({}, exceptions, 1.0, -10.0 if not n1 else 0.0)
+        return Lexicon({}, exceptions, 1.0, -10.0)
     tally = in_arrow(sample.select("y", "text"), _beginnings, "term string, prev long, toxic long, clean long")
     summed = (
         tally.groupBy("term", "prev").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("c"))
@@ -196,23 +196,24 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
     )
     best = summed.orderBy(F.desc(F.col("a") - F.col("c")), "term").limit(ENTRIES).collect()
     weights = entries({r["term"]: (r["a"], r["c"]) for r in best}, n1 / (n0 + n1))
+    if not weights:
+        return Lexicon({}, exceptions, 1.0, -10.0)
     raw = Lexicon(weights, exceptions)
     rows = weighed(sample, raw, "y").select("row.y", "total", "n").collect()
     x = np.array([feature(r["total"], r["n"]) for r in rows])
     y = np.array([r["y"] for r in rows], float)
-    weight = np.where(y == 1, 0.5 / n1, 0.5 / n0) * len(y)
     a, b = 1.0, -1.0
     for _ in range(200):  # Newton steps on the ridge-damped likelihood
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([(weight * (p - y) * x).sum() + 1e-3 * a, (weight * (p - y)).sum() + 1e-3 * b])
-        s = weight * p * (1 - p)
+        g = np.array([((p - y) * x).sum() + 1e-3 * a, (p - y).sum() + 1e-3 * b])
+        s = p * (1 - p)
         h = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-3]])
         step = np.linalg.solve(h, g)
         step *= min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-6:
             break
-    return Lexicon(weights, exceptions, float(a), float(b))
+    return Lexicon(weights, exceptions, float(a), min(float(b), -0.5))  # without a match no text is toxic
 
 
 def weighed(docs: DataFrame, lexicon: Lexicon, *cols: str, text_col: str = "text") -> DataFrame:
