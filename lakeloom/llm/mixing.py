@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import let
+from lakeloom.llm.common import let, stored
 
 #: Seed of all draws; the exponent of source sizes in the default targets.
 SEED, EXPONENT = 20240, 0.5
@@ -94,9 +94,13 @@ def replicate(docs: DataFrame, mean: DataFrame, seed: int = SEED, id_col: str =
 
 
 def mix(docs: DataFrame, targets: DataFrame | None = None, wanted: float | None = None, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """docs replicated to the target weights (by default tempered source sizes)."""
-    counts = sizes(docs, source_col)
-    return replicate(docs, rates(counts, tempered(counts) if targets is None else targets, wanted), seed, id_col, source_col)
+    """docs replicated to the target weights (by default tempered source sizes).
+
+    Sizes and rates are written tables of one row per source, so docs are read twice.
+    """
+    counts = stored(sizes(docs, source_col), "sizes")
+    mean = stored(rates(counts, tempered(counts) if targets is None else targets, wanted), "rates")
+    return replicate(docs, mean, seed, id_col, source_col)
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
