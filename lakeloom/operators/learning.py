@@ -173,3 +173,25 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     dfs = tf.groupBy("word").agg(F.count("*").alias("df"))
     n = df.agg(F.count_distinct(doc).alias("_n"))
     return tf.join(dfs, "word").crossJoin(F.broadcast(n)).select(doc, "word", "tf", "df", (F.col("tf") * F.ln(F.col("_n") / F.col("df"))).alias("tf_idf"))
+
+
+def connected_components(edges: DataFrame, src: str, dst: str, rounds: int = 100) -> DataFrame:
+    """(node, component): the least node that each can reach, edges read both ways.
+
+    Every round a node takes the least label of its neighbours and then its label's
+    own label, so distances halve; each round is checkpointed. Raises if labels still
+    move after so many rounds. Edges with a NULL end are left out.
+    """
+    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    both = e.union(e.select("b", "a")).distinct().checkpoint()
+    ends = edges.select(F.explode(F.array(src, dst)).alias("node")).where("node IS NOT NULL").distinct()
+    labels = ends.select("node", F.col("node").alias("component")).checkpoint()
+    for _ in range(rounds):
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("m"))
+        met = labels.join(near, F.col("node") == F.col("a"), "left").select("node", "component", F.least("component", F.coalesce("m", "component")).alias("m"))
+        up = met.select(F.col("node").alias("p"), F.col("m").alias("pm"))
+        new = met.join(up, F.col("m") == F.col("p")).select("node", F.least("m", "pm").alias("component"), (F.least("m", "pm") < F.col("component")).alias("moved")).checkpoint()
+        labels = new.select("node", "component")
+        if not new.where("moved").limit(1).count():
+            return labels
+    raise RuntimeError(f"labels still move after {rounds} rounds")

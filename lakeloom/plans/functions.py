@@ -186,6 +186,49 @@ def sql_statement(spark, d):
     return T.statement(spark, sql, {"spark.sql.shuffle.partitions": "4"}, {"least": 100000})
 
 
+@_r.add("SELECT o_orderstatus, o_orderkey FROM orders WHERE o_totalprice > 200000")
+def sql_to_table(spark, d):
+    """A statement's result written with dynamic partitions and read again."""
+    view, path = T.temporary_view(table(spark, d, "orders")), f"{_work(spark)}/t"
+    T.write_query(spark, f"SELECT o_orderkey, o_orderstatus FROM {view} WHERE o_totalprice > 200000", path, partition_by=["o_orderstatus"])
+    return T.read(spark, path, columns=["o_orderstatus", "o_orderkey"])
+
+
+@_r.add("SELECT n_nationkey, n_name FROM nation")
+def compact_files(spark, d):
+    """Many small files rewritten as few."""
+    folder = _work(spark)
+    T.write(table(spark, d, "nation").select("n_nationkey", "n_name").repartition(8), f"{folder}/many")
+    T.compact(spark, f"{folder}/many", f"{folder}/few")
+    return T.read(spark, f"{folder}/few")
+
+
+@_r.add("SELECT event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS INTEGER) AS version, event_id FROM events")
+def versions_per_key(spark, d):
+    """Version numbers per key."""
+    return T.running_version(table(spark, d, "events").select("event_type", "event_id"), ["event_type"], ["event_id"])
+
+
+@_r.add("SELECT user_id, arg_max(event_id, event_id) AS event_id FROM events GROUP BY user_id")
+def latest_per_key(spark, d):
+    """The row of greatest version per key."""
+    return T.latest(table(spark, d, "events").select("user_id", "event_id"), ["user_id"], "event_id")
+
+
+@_r.add()
+def sketch_top(spark, d):
+    """Frequent items from a bounded sketch."""
+    return K.top_k(table(spark, d, "events"), "event_type", 3)
+
+
+@_r.add(r"""
+SELECT lang, count(DISTINCT word) > 0 AS some FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY lang""")
+def sketch_tokens(spark, d):
+    """Distinct tokens per language, estimated."""
+    out = K.hll_tokens(table(spark, d, "documents"), "text", " ", ["lang"])
+    return out.select("lang", (F.col("hll_count") > 0).alias("some"))
+
+
 def _stream(spark, d):
     df = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     folder = _work(spark)

@@ -171,13 +171,29 @@ def graph_triangles(spark, d):
     return L.triangles(_edges(spark, d), "s", "t")
 
 
-@_r.add()
-def graph_page_rank(spark, d):
-    """Ranks after ten rounds."""
+def _checkpoints(spark):
+    """A checkpoint folder of its own only where the session has none."""
     if not spark.sparkContext.getCheckpointDir():
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-"))
+
+
+@_r.add("""
+WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS s, l_partkey + 1000000 AS t FROM lineitem WHERE l_orderkey % 97 = 0), u AS (SELECT s AS a, t AS b FROM e UNION SELECT t, s FROM e),
+r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.seen)
+SELECT node, min(seen) AS component FROM r GROUP BY node""")
+def graph_components(spark, d):
+    """Connected components of suppliers and parts that share lines."""
+    _checkpoints(spark)
+    e = table(spark, d, "lineitem").where("l_orderkey % 97 = 0").select(F.col("l_suppkey").alias("s"), (F.col("l_partkey") + 1000000).alias("t"))
+    return L.connected_components(e, "s", "t")
+
+
+@_r.add()
+def graph_page_rank(spark, d):
+    """Ranks after ten rounds."""
+    _checkpoints(spark)
     return L.page_rank(_edges(spark, d), "s", "t")
 
 
@@ -218,3 +234,52 @@ def model_importances(spark, d):
     """What a forest finds important in a price."""
     t = table(spark, d, "part").select(F.col("p_size").cast("double").alias("size"), (F.col("p_partkey") % 100).cast("double").alias("key"), "p_retailprice")
     return L.importances(t, ["size", "key"], "p_retailprice", trees=5)
+
+
+@_r.add("SELECT true AS close FROM (SELECT 1)")
+def model_logistic(spark, d):
+    """A separable label is learned."""
+    t = table(spark, d, "part").select(F.col("p_size").cast("double").alias("x"), (F.col("p_size") > 25).cast("int").alias("y"))
+    return L.logistic_regression(t, ["x"], "y").agg((F.avg((F.col("prediction") == F.col("y")).cast("double")) > 0.95).alias("close"))
+
+
+@_r.add("SELECT true AS close FROM (SELECT 1)")
+def model_boosted(spark, d):
+    """Boosted trees follow a step."""
+    t = table(spark, d, "part").select(F.col("p_size").cast("double").alias("x"), F.when(F.col("p_size") > 25, 10.0).otherwise(0.0).alias("y"))
+    return L.boosted_trees(t, ["x"], "y", rounds=3).agg((F.max(F.abs(F.col("prediction") - F.col("y"))) < 0.1).alias("close"))
+
+
+@_r.add("SELECT CAST(min(n) > 0 AND count(*) = 5 AS BOOLEAN) AS whole FROM (SELECT o_orderkey % 5 AS f, count(*) AS n FROM orders GROUP BY 1)")
+def model_folds(spark, d):
+    """Five folds, none empty."""
+    t = M.k_fold(table(spark, d, "orders"), 5, ["o_orderkey"]).groupBy("fold").agg(F.count("*").alias("n"))
+    return t.agg(((F.min("n") > 0) & (F.count("*") == 5)).alias("whole"))
+
+
+@_r.add(_S + """, g AS (SELECT score AS threshold, sum(y) AS p1, count(*) AS m FROM s GROUP BY score),
+c AS (SELECT threshold, sum(p1) OVER w / sum(p1) OVER () AS gain, sum(m) OVER w / sum(m) OVER () AS depth FROM g WINDOW w AS (ORDER BY threshold DESC))
+SELECT round(threshold, 9) AS threshold, depth, gain FROM c""")
+def metric_gain(spark, d):
+    """Points of the gain chart."""
+    return M.gain_chart(_scored(spark, d), "y", "score").withColumn("threshold", F.round("threshold", 9))
+
+
+@_r.add(_S + """, c AS (SELECT l, sum((y = l AND p = l)::INT) AS tp, sum((p = l)::INT) AS named, sum((y = l)::INT) AS support FROM s, (SELECT unnest([0, 1]) AS l) GROUP BY l)
+SELECT avg(tp / named) AS precision, avg(tp / support) AS recall, avg(2 * (tp / named) * (tp / support) / (tp / named + tp / support)) AS fbeta FROM c""")
+def metric_macro(spark, d):
+    """Plain averages over classes."""
+    return M.averaged(_scored(spark, d), "y", "p", "macro")
+
+
+@_r.add(_S + """SELECT sum((y = 1 AND p = 1)::INT) / sum(p) AS precision, sum((y = 1 AND p = 1)::INT) / sum(y) AS recall,
+2 * sum((y = 1 AND p = 1)::INT) / (sum(p) + sum(y)) AS fbeta FROM s""")
+def metric_binary(spark, d):
+    """One class's figures."""
+    return M.averaged(_scored(spark, d), "y", "p", "binary")
+
+
+@_r.add("SELECT CAST(0.5 AS DOUBLE) AS auc")
+def metric_trapezoid(spark, d):
+    """Area under given points."""
+    return M.auc(spark.createDataFrame([(0.0, 0.0), (0.5, 0.5), (1.0, 1.0)], "x double, y double"), "x", "y")

@@ -65,17 +65,17 @@ def string_tests(spark, d):
 
 
 @_r.add("""
-SELECT n_nationkey, upper(n_name[1]) || lower(n_name[2:]) AS titled, CAST(n_nationkey AS VARCHAR) AS got, CAST(2 AS INTEGER) AS n_keys,
-       strptime('2024-03-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0'), '%Y-%m-%d') AS day FROM nation WHERE n_name NOT LIKE '% %' AND n_name NOT SIMILAR TO '.*[^A-Za-z].*'
-UNION ALL SELECT n_nationkey, NULL, NULL, NULL, NULL FROM nation WHERE false""")
+SELECT c_custkey, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS titled, c_mktsegment = upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS is_titled, CAST(c_custkey AS VARCHAR) AS got,
+       CAST(2 AS INTEGER) AS n_keys, strptime('2024-03-' || lpad(CAST(c_custkey % 31 + 1 AS VARCHAR), 2, '0'), '%Y-%m-%d') AS day
+FROM customer WHERE regexp_matches(c_mktsegment, '^[A-Za-z]+$')""")
 def string_parse(spark, d):
     """Title case, text to map, text to time."""
-    k = F.col("n_nationkey").cast("string")
-    text = F.concat(F.lit("k="), k, F.lit(",z=1"))
-    t = table(spark, d, "nation").where(F.col("n_name").rlike("^[A-Za-z]*$"))
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("k="), k.cast("string"), F.lit(",z=1"))
+    t = table(spark, d, "customer").where(F.col("c_mktsegment").rlike("^[A-Za-z]+$"))
     return t.select(
-        "n_nationkey", S.title("n_name").alias("titled"), N.key(S.to_dict(text), "k").alias("got"), N.size(S.to_dict(text)).alias("n_keys"),
-        S.strptime(F.concat(F.lit("2024-03-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0")), "%Y-%m-%d").cast("timestamp_ntz").alias("day"),
+        "c_custkey", S.title("c_mktsegment").alias("titled"), S.is_title("c_mktsegment").alias("is_titled"), N.key(S.to_dict(text), "k").alias("got"), N.size(S.to_dict(text)).alias("n_keys"),
+        S.strptime(F.concat(F.lit("2024-03-"), F.lpad((k % 31 + 1).cast("string"), 2, "0")), "%Y-%m-%d").cast("timestamp_ntz").alias("day"),
     )
 
 
