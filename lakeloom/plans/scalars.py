@@ -15,19 +15,19 @@ QUERIES, ORACLES = _r.queries, _r.oracles
 
 
 @_r.add(r"""
-SELECT p_partkey, upper(p_name[1]) || lower(p_name[2:]) AS capitalized, concat_ws('/', p_name, p_brand, nullif(p_type, p_type)) AS joined, regexp_matches(p_name, '[0-9]+$') AS has_number,
-       regexp_matches(p_name, '(?i)PART') AS has_any_case, contains(p_name, '1.') AS has_literal, CAST(len(regexp_extract_all(p_name, '[0-9]')) AS INTEGER) AS n_digits,
-       starts_with(p_name, 'P') AS starts, suffix(p_name, '7') AS ends, CASE WHEN regexp_matches(p_name, '([0-9])[0-9]*') THEN regexp_extract(p_name, '([0-9])[0-9]*', 1) END AS first_digit,
-       CAST(instr(p_name, '1') - 1 AS INTEGER) AS found, CAST(CASE WHEN instr(reverse(p_name), '1') > 0 THEN length(p_name) - instr(reverse(p_name), '1') ELSE -1 END AS INTEGER) AS rfound,
-       regexp_replace(p_name, '[0-9]', '#', 'g') AS replaced, regexp_replace(p_name, '[0-9]', '#') AS replaced_once, CAST(length(p_name) AS INTEGER) AS n
+SELECT p_partkey, upper(p_brand[1]) || lower(p_brand[2:]) AS capitalized, concat_ws('/', p_brand, p_name, nullif(p_type, p_type)) AS joined, regexp_matches(p_brand, '[0-9]+$') AS has_number,
+       regexp_matches(p_brand, '(?i)BRAND') AS has_any_case, contains(p_brand, '#1') AS has_literal, CAST(len(regexp_extract_all(p_brand, '[0-9]')) AS INTEGER) AS n_digits,
+       starts_with(p_brand, 'B') AS starts, suffix(p_brand, '7') AS ends, CASE WHEN regexp_matches(p_brand, '([0-9])[0-9]*') THEN regexp_extract(p_brand, '([0-9])[0-9]*', 1) END AS first_digit,
+       CAST(instr(p_brand, '1') - 1 AS INTEGER) AS found, CAST(CASE WHEN instr(reverse(p_brand), '1') > 0 THEN length(p_brand) - instr(reverse(p_brand), '1') ELSE -1 END AS INTEGER) AS rfound,
+       regexp_replace(p_brand, '[0-9]', '#', 'g') AS replaced, regexp_replace(p_brand, '[0-9]', '#') AS replaced_once, CAST(length(p_brand) AS INTEGER) AS n
 FROM part""")
 def string_search(spark, d):
     """Case, search, extraction and replacement."""
-    c = F.col("p_name")
+    c = F.col("p_brand")
     return table(spark, d, "part").select(
-        "p_partkey", S.capitalize(c).alias("capitalized"), S.cat(c, [F.col("p_brand"), F.nullif("p_type", "p_type")], "/").alias("joined"), S.contains(c, "[0-9]+$").alias("has_number"),
-        S.contains(c, "PART", case=False).alias("has_any_case"), S.contains(c, "1.", regex=False).alias("has_literal"), S.count(c, "[0-9]").alias("n_digits"),
-        F.startswith(c, F.lit("P")).alias("starts"), F.endswith(c, F.lit("7")).alias("ends"), S.extract(c, "([0-9])[0-9]*", 1).alias("first_digit"),
+        "p_partkey", S.capitalize(c).alias("capitalized"), S.cat(c, [F.col("p_name"), F.nullif("p_type", "p_type")], "/").alias("joined"), S.contains(c, "[0-9]+$").alias("has_number"),
+        S.contains(c, "BRAND", case=False).alias("has_any_case"), S.contains(c, "#1", regex=False).alias("has_literal"), S.count(c, "[0-9]").alias("n_digits"),
+        F.startswith(c, F.lit("B")).alias("starts"), F.endswith(c, F.lit("7")).alias("ends"), S.extract(c, "([0-9])[0-9]*", 1).alias("first_digit"),
         S.find(c, "1").alias("found"), S.rfind(c, "1").alias("rfound"), S.replace(c, "[0-9]", "#").alias("replaced"), S.replace(c, "[0-9]", "#", n=1).alias("replaced_once"), F.length(c).alias("n"),
     )
 
