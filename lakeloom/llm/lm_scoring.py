@@ -3,7 +3,9 @@
 1. All training tokens are counted by word hash (64 bits) with their shape; the
    counts stay a table.
 2. The most frequent words (a documented number) go to the tasks with their counts;
-   the model is trained on a bounded sample of training documents.
+   the model starts from a bounded sample of training documents and is then trained
+   on all of them: tasks run over their parts of the training texts from the same
+   weights, and the weights are averaged after each round.
 3. One pass scores every document; words outside the frequent ones leave it as
    (document, word, times) rows.
 4. Those meet the counts table on the word, and their sums return to the documents.
@@ -21,9 +23,15 @@ from pyspark.sql import functions as F
 from lakeloom.llm import recurrent_lm as lm
 from lakeloom.llm.common import blank_table, buffers, fold, in_arrow, least_hashed, pieces, stored, word_bounds, word_hashes
 
-#: Frequent words sent to tasks (16 bytes each); training documents and tokens of the model's sample.
+#: Frequent words sent to tasks (16 bytes each); documents and tokens of the sample that gives the first weights.
 FREQUENT, SAMPLE_DOCS, SAMPLE_TOKENS = 200_000, 2000, 300_000
 
+#: Training on all texts: tokens of a part, rounds after which weights are averaged, tokens a task holds at once, lanes, rate.
+PART_TOKENS, ROUNDS, HELD_TOKENS, LANES, RATE = 4_000_000, 3, 500_000, 256, 2e-3
+
+#: Rows in which a task hands over its weights.
+SLOTS = 64
+
 #: Tokens that are scored together.
 GROUP = 1_000_000
 
@@ -94,20 +102,75 @@ class _Tables:
 
 
 def _numbered(tables):
-    """(text) to the model's tokens, the end included."""
+    """(h, text) to h and the model's tokens, the end included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = tables.value
-        for batch in pieces(batches, 0):
-            h, shape, first = _tokens(batch, 0)
+        for batch in pieces(batches):
+            h, shape, first = _tokens(batch, 1)
             at, known = held.find(h)
             flow = np.insert(held.number(at, known, shape), first[1:], held.end())
             off = first + np.arange(len(first))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flow.astype(np.int32)))], ["tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flow.astype(np.int32)))], ["h", "tokens"])
+
+    return run
+
+
+def _trained(weights, first: float, last: float):
+    """(h, tokens) of a part to its weights, as (slot, n, v): n tokens, v a slice of the weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, n, size, texts = lm.Trainer(weights.value), 0, 0, []
+        for batch in batches:
+            off = batch.column(1).offsets.to_numpy().astype(np.int64)
+            flow = batch.column(1).flatten().to_numpy().astype(np.int64)
+            texts += np.split(flow, (off - off[0])[1:-1]) if batch.num_rows else []
+            size += len(flow)
+            if size >= HELD_TOKENS:
+                trainer.run(texts, LANES, 24, first, last)
+                n, size, texts = n + size, 0, []
+        if size:
+            trainer.run(texts, LANES, 24, first, last)
+        if n + size:
+            cut = np.array_split(lm.packed(lm.Model(trainer.p)), SLOTS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(SLOTS, dtype=np.int32)), pa.array(np.full(SLOTS, n + size)), pa.array([c.tobytes() for c in cut], pa.binary())], ["slot", "n", "v"]
+            )
 
     return run
 
 
+def _mean(table: pa.Table) -> pa.Table:
+    """Rows of a slot to their mean, weighted by tokens; in a fixed order, so that sums come out alike."""
+    rows = sorted(zip(table["n"].to_pylist(), table["v"].to_pylist()))
+    total = sum(n for n, _ in rows)
+    mean = sum(np.frombuffer(v, np.float32).astype(np.float64) * (n / total) for n, v in rows)
+    return pa.table({"slot": table["slot"].slice(0, 1), "v": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def train_on_all(docs: DataFrame, held: _Tables, id_col: str = "doc_id", text_col: str = "text") -> lm.Model:
+    """held.model after one pass over every text of docs.
+
+    Texts are dealt to parts and rounds by a hash, so a part is a cross-section of the
+    corpus whatever the files are sorted by. The number of parts grows with the tokens.
+    """
+    spark = docs.sparkSession
+    model, numbers = held.model, spark.sparkContext.broadcast(held)
+    parts = -(-held.total // PART_TOKENS)
+    rounds = ROUNDS if held.total > HELD_TOKENS else 1
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("text"))
+    for i in range(rounds if held.total else 0):
+        some = rows.where(F.pmod(F.shiftrightunsigned("h", 20), F.lit(rounds)) == i)
+        dealt = in_arrow(some, _numbered(numbers), "h long, tokens array<int>").repartition(parts, "h").sortWithinPartitions("h")
+        first, last = (RATE * (1 - 0.9 * (i + k) / rounds) for k in (0, 1))
+        done = in_arrow(dealt, _trained(spark.sparkContext.broadcast(model), first, last), "slot int, n long, v binary")
+        got = {r["slot"]: r["v"] for r in stored(done.groupBy("slot").applyInArrow(_mean, "slot int, v binary"), "weights").collect()}  # the model's size
+        if got:
+            model = lm.unpacked(np.concatenate([np.frombuffer(got[k], np.float32) for k in range(SLOTS)]), model)
+    return model
+
+
 _SCORED = "n_tokens long, n_known long, base double, model double, rare array<struct<h:long,m:int>>"
 
 
@@ -191,7 +254,7 @@ def _most_frequent(table: DataFrame, n: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> _Tables:
-    """Frequent words and totals of a counts table, and a model trained on a sample of docs."""
+    """Frequent words and totals of a counts table, and a model trained on all docs, from weights of a sample."""
     spark = docs.sparkSession
     top = _most_frequent(table, FREQUENT).toPandas()  # bounded by FREQUENT
     total = table.agg(
@@ -209,13 +272,14 @@ def learn(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: s
     ids = docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL")
     first = least_hashed(ids, SAMPLE_DOCS, ids.count())
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(first.distinct()), "id")
-    rows = in_arrow(texts.orderBy(F.xxhash64("id"), "text").select("text"), _numbered(spark.sparkContext.broadcast(held)), "tokens array<int>").collect()
+    rows = in_arrow(texts.orderBy(F.xxhash64("id"), "text").select(F.lit(0).cast("long").alias("h"), "text"), _numbered(spark.sparkContext.broadcast(held)), "h long, tokens array<int>").collect()
     sample, size = [], 0
     for r in rows:  # bounded by SAMPLE_DOCS texts
         if size < SAMPLE_TOKENS:
             sample.append(np.array(r["tokens"], np.int64))
             size += len(r["tokens"])
     held.model = lm.train(lm.new_model(vocabulary["n"].to_numpy(float), shapes[:, 0]), sample)
+    held.model = train_on_all(docs, held, id_col, text_col)
     return held
 
 

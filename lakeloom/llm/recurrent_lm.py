@@ -30,6 +30,14 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 @dataclass
 class Model:
     """The parameters; p has e (inputs), u, b (gates), c, cb (classes), w, wb (words)."""
@@ -94,72 +102,105 @@ def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray, most: int = 8
     return out
 
 
+class Trainer:
+    """Truncated back-propagation with Adam; the state stays from one group of texts to the next."""
+
+    def __init__(self, model: Model):
+        self.p = {k: v.copy() for k, v in model.p.items()}
+        self.m1, self.m2 = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+        self.updates = 0
+
+    def run(self, texts: list[np.ndarray], lanes: int, window: int, first: float, last: float) -> None:
+        """One pass over the texts, laid out as lanes of one stream each; the rate goes from first to last."""
+        flow = np.concatenate(texts)
+        prev = np.concatenate([np.append(START, t[:-1]) for t in texts if len(t)])
+        width = min(lanes, max(1, len(flow) // window))
+        steps = -(-len(flow) // width)
+        # the last lanes may be a word short: padded words have no weight
+        real = np.arange(width * steps) < len(flow)
+        flow, prev = (np.append(x, np.full(width * steps - len(x), START)) for x in (flow, prev))
+        flow, prev, real = (x.reshape(width, steps).T for x in (np.where(real, flow, 0), prev, real))
+        h = np.zeros((width, HIDDEN), np.float32)
+        for t0 in range(0, steps, window):
+            h = self._update(flow[t0 : t0 + window], prev[t0 : t0 + window], real[t0 : t0 + window], h, first + (last - first) * t0 / steps)
+
+    def _update(self, tgt: np.ndarray, inp: np.ndarray, real: np.ndarray, h: np.ndarray, speed: float) -> np.ndarray:
+        p, n, width = self.p, HIDDEN, tgt.shape[1]
+        x = p["e"][inp] + p["b"]
+        starts = inp == START
+        held, hs = [], np.empty((len(tgt), width, n), np.float32)
+        for t in range(len(tgt)):
+            if starts[t].any():
+                h = np.where(starts[t][:, None], np.float32(0), h)
+            before = h
+            h, z, r, c, gc = _step(p, x[t], h)
+            held.append((before, z, r, c, gc))
+            hs[t] = h
+        flat, want = hs.reshape(-1, n), tgt.reshape(-1)
+        weight = (real.reshape(-1) / max(1, int(real.sum()))).astype(np.float32)[:, None]
+        d = _softmax(flat @ p["c"] + p["cb"])
+        d[np.arange(len(want)), _class_of(want)] -= 1
+        d *= weight
+        grad = {"c": flat.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+        dh = d @ p["c"].T
+        for k, at in _by_class(want):
+            rows = flat[at]
+            q = _softmax(rows @ p["w"][k] + p["wb"][k])
+            q[np.arange(len(at)), want[at] % PER_CLASS] -= 1
+            q *= weight[at]
+            grad["w"][k], grad["wb"][k] = rows.T @ q, q.sum(0)
+            dh[at] += q @ p["w"][k].T
+        dh = dh.reshape(len(tgt), width, n)
+        carry = np.zeros((width, n), np.float32)
+        dx, dg = np.empty((len(tgt), width, 3 * n), np.float32), np.empty((len(tgt), width, 3 * n), np.float32)
+        ut = np.ascontiguousarray(p["u"].T)
+        for t in range(len(tgt) - 1, -1, -1):
+            before, z, r, c, gc = held[t]
+            g = dh[t] + carry
+            dc = g * (1 - z) * (1 - c * c)
+            dx[t, :, :n] = dg[t, :, :n] = g * (before - c) * z * (1 - z)
+            dx[t, :, n : 2 * n] = dg[t, :, n : 2 * n] = dc * gc * r * (1 - r)
+            dx[t, :, 2 * n :], dg[t, :, 2 * n :] = dc, dc * r
+            carry = g * z + dg[t] @ ut
+            if starts[t].any():
+                carry[starts[t]] = 0
+        grad["u"] = np.stack([one[0] for one in held]).reshape(-1, n).T @ dg.reshape(-1, 3 * n)
+        dx = dx.reshape(-1, 3 * n)
+        grad["b"] = dx.sum(0)
+        cells = inp.reshape(-1, 1) * (3 * n) + np.arange(3 * n)
+        grad["e"] = np.bincount(cells.reshape(-1), dx.reshape(-1), p["e"].size).astype(np.float32).reshape(-1, 3 * n)
+        clip = np.float32(min(1.0, 1.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) + 1e-9)))
+        self.updates += 1
+        one, two = np.float32(speed / (1 - 0.9**self.updates)), np.float32(1 / (1 - 0.99**self.updates))
+        for k, g in grad.items():
+            g *= clip
+            m1, m2 = self.m1[k], self.m2[k]
+            m1 += np.float32(0.1) * (g - m1)
+            m2 += np.float32(0.01) * (g * g - m2)
+            p[k] -= one * m1 / (np.sqrt(two * m2) + np.float32(1e-6))
+        return h
+
+
 def train(model: Model, texts: list[np.ndarray], lanes: int = 96, window: int = 24, epochs: int = 3, rate: float = 4e-3, seed: int = 5) -> Model:
-    """Truncated back-propagation over the texts laid out as lanes of one stream each."""
+    """Some passes over texts that fit in memory, in a new order each."""
     if not texts:
         return model
-    p = {k: v.copy() for k, v in model.p.items()}
-    m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    rng = np.random.default_rng(seed)
-    updates = 0
+    trainer, rng = Trainer(model), np.random.default_rng(seed)
     for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        flow = np.concatenate([texts[i] for i in order])
-        prev = np.concatenate([np.append(START, texts[i][:-1]) for i in order])
-        width = min(lanes, max(1, len(flow) // window))
-        steps = len(flow) // width
-        flow, prev = (x[: steps * width].reshape(width, steps).T for x in (flow, prev))
-        h = np.zeros((width, HIDDEN), np.float32)
-        total = -(-steps // window)
-        for t0 in range(0, steps, window):
-            tgt, inp = flow[t0 : t0 + window], prev[t0 : t0 + window]
-            held, hs = [], []
-            for t in range(len(tgt)):
-                fresh = inp[t] == START
-                h = np.where(fresh[:, None], np.float32(0), h)
-                before = h
-                h, z, r, c, gc = _step(p, p["e"][inp[t]] + p["b"], h)
-                held.append((before, z, r, c, gc, fresh))
-                hs.append(h)
-            flat, want = np.concatenate(hs), tgt.reshape(-1)
-            n = len(want)
-            grad = {k: np.zeros_like(v) for k, v in p.items()}
-            d = np.exp(_log_softmax(flat @ p["c"] + p["cb"]))
-            d[np.arange(n), _class_of(want)] -= 1
-            d /= n
-            grad["c"], grad["cb"] = flat.T @ d, d.sum(0)
-            dh = d @ p["c"].T
-            for k, at in _by_class(want):
-                q = np.exp(_log_softmax(flat[at] @ p["w"][k] + p["wb"][k]))
-                q[np.arange(len(at)), want[at] % PER_CLASS] -= 1
-                q /= n
-                grad["w"][k], grad["wb"][k] = flat[at].T @ q, q.sum(0)
-                dh[at] += q @ p["w"][k].T
-            dh = dh.reshape(len(tgt), width, HIDDEN)
-            carry = np.zeros((width, HIDDEN), np.float32)
-            dx = np.zeros((len(tgt), width, 3 * HIDDEN), np.float32)
-            for t in range(len(tgt) - 1, -1, -1):
-                before, z, r, c, gc, fresh = held[t]
-                g = dh[t] + carry
-                dc = g * (1 - z) * (1 - c * c)
-                dz = g * (before - c) * z * (1 - z)
-                dr = dc * gc * r * (1 - r)
-                dg = np.hstack([dz, dr, dc * r])
-                dx[t] = np.hstack([dz, dr, dc])
-                grad["u"] += before.T @ dg
-                carry = np.where(fresh[:, None], 0, g * z + dg @ p["u"].T)
-            grad["b"] = dx.sum((0, 1))
-            np.add.at(grad["e"], inp.reshape(-1), dx.reshape(-1, 3 * HIDDEN))
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-            clip = min(1.0, 1.0 / (norm + 1e-9))
-            updates += 1
-            speed = rate * (1 - 0.9 * (epoch * total + t0 // window) / (epochs * total))
-            for k in p:
-                g = grad[k] * clip
-                m1[k] += 0.1 * (g - m1[k])
-                m2[k] += 0.01 * (g * g - m2[k])
-                p[k] -= (speed * (m1[k] / (1 - 0.9**updates)) / (np.sqrt(m2[k] / (1 - 0.99**updates)) + 1e-6)).astype(np.float32)
-    return Model(p)
+        trainer.run([texts[i] for i in rng.permutation(len(texts))], lanes, window, *(rate * (1 - 0.9 * (epoch + i) / epochs) for i in (0, 1)))
+    return Model(trainer.p)
+
+
+def packed(model: Model) -> np.ndarray:
+    """All weights in one row."""
+    return np.concatenate([model.p[k].reshape(-1) for k in sorted(model.p)])
+
+
+def unpacked(row: np.ndarray, like: Model) -> Model:
+    """The model whose packed() row is, shaped as like."""
+    keys = sorted(like.p)
+    cuts = np.split(row, np.cumsum([like.p[k].size for k in keys])[:-1])
+    return Model({k: v.reshape(like.p[k].shape).astype(np.float32) for k, v in zip(keys, cuts)})
 
 
 def log10_likelihood(model: Model, texts: list[np.ndarray], window: int = 16) -> np.ndarray:

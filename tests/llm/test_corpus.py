@@ -318,6 +318,30 @@ def test_lm_scoring_base_and_odd_texts(spark, docs, monkeypatch):
     assert lm_scoring.fit_and_score(docs.limit(0), F.lit(True))[0].count() == 0
 
 
+def test_lm_learns_from_every_training_text(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SAMPLE_DOCS", 1)
+    rng = random.Random(8)
+    rows = [(i, " ".join("a b c d".split() * 40)) for i in range(400)]
+    mixed = [(i, " ".join(rng.sample(t.split(), 160))) for i, t in rows]
+    first = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id").orderBy(F.xxhash64("doc_id")).first()[0]
+    scores = []
+    for texts in (rows, mixed):  # same counts, and the same text of least hash
+        df = spark.createDataFrame([rows[i] if i == first else texts[i] for i in range(400)], "doc_id long, text string")
+        scores.append(lm_scoring.fit_and_score(df, F.lit(True))[0].where(F.col("doc_id") == first).first()["score"])
+    assert scores[0] > scores[1] + 0.1
+
+
+def test_lm_parts_and_rounds(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", 4000)
+    monkeypatch.setattr(lm_scoring, "HELD_TOKENS", 1500)
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, text(rng, rng.randint(0, 150))) for i in range(300)], "doc_id long, text string")
+    one, two = (lm_scoring.fit_and_score(df.repartition(n), F.lit(True))[1] for n in (1, 5))
+    assert all(np.allclose(one.model.p[k], two.model.p[k]) for k in one.model.p)  # however the files are cut
+    same = lm.unpacked(lm.packed(one.model), one.model)
+    assert all((same.p[k] == v).all() for k, v in one.model.p.items())
+
+
 def test_automaton_finds_longest_matches():
     rng = random.Random(5)
     train = [rng.randint(1, 4) for _ in range(300)]
