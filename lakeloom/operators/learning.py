@@ -103,19 +103,25 @@ def page_rank(edges: DataFrame, src: str, dst: str, rounds: int = 10, damping: f
     return ranks.select("node", "rank")
 
 
-def item_similarity(df: DataFrame, user: str, item: str, most: int = 500) -> DataFrame:
+def item_similarity(df: DataFrame, user: str, item: str, block: int = 500) -> DataFrame:
     """(a, b, jaccard) of items by shared users, for a recommender.
 
-    A user with more than `most` items would give quadratic pairs and says little of
-    similarity; such users are left out of pairs, as the parameter states.
+    Every user counts. A user's items are dealt to blocks of about `block` items, and
+    each two blocks of a user meet under a key of their own, so that the pairs of a
+    user with many items are made by many tasks; pairs are counted before the shuffle.
+    Rows with a NULL user or item are left out of pairs.
     """
-    pairs = df.select(user, item).distinct()
-    busy = pairs.groupBy(user).agg(F.count("*").alias("c")).where(F.col("c") <= most).select(user)
-    p = pairs.join(busy, user)
-    n = p.groupBy(item).agg(F.count("*").alias("n"))
-    both = p.alias("x").join(p.alias("y"), F.col(f"x.{user}") == F.col(f"y.{user}")).where(F.col(f"x.{item}") < F.col(f"y.{item}"))
-    shared = both.groupBy(F.col(f"x.{item}").alias("a"), F.col(f"y.{item}").alias("b")).agg(F.count("*").alias("c"))
-    na, nb = n.select(F.col(item).alias("a"), F.col("n").alias("na")), n.select(F.col(item).alias("b"), F.col("n").alias("nb"))
+    p = df.select(F.col(user).alias("u"), F.col(item).alias("i")).distinct()
+    n = p.groupBy("i").agg(F.count("*").alias("n"))
+    size = p.where("u IS NOT NULL AND i IS NOT NULL").groupBy("u").agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
+    dealt = p.where("i IS NOT NULL").join(size, "u").withColumn("x", F.pmod(F.xxhash64("i"), F.col("k")).cast("int"))
+    # a block meets each block, itself too; (lo, hi) names the meeting
+    met = dealt.select("u", "i", "x", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("y"))
+    met = met.select("u", "i", "x", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
+    left, right = met.where("x = lo").select("u", "lo", "hi", F.col("i").alias("a")), met.where("x = hi").select("u", "lo", "hi", F.col("i").alias("b"))
+    both = left.join(right, ["u", "lo", "hi"]).where((F.col("lo") < F.col("hi")) | (F.col("a") < F.col("b")))
+    shared = both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("c"))
+    na, nb = n.select(F.col("i").alias("a"), F.col("n").alias("na")), n.select(F.col("i").alias("b"), F.col("n").alias("nb"))
     return shared.join(na, "a").join(nb, "b").select("a", "b", (F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))).alias("jaccard"))
 
 

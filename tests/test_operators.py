@@ -1,5 +1,8 @@
 """Edge cases of the operators: NULLs, names, errors."""
 
+import collections
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from lakeloom.functions import aggregates as A
 from lakeloom.functions import elements as E
 from lakeloom.functions import strings as S
 from lakeloom.functions import windows as W
+from lakeloom.operators import learning as L
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import relational as R
 from lakeloom.operators import reshape as P
@@ -160,3 +164,23 @@ def test_theta_join_needs_a_small_side(spark):
     big = spark.range(10**9)
     with pytest.raises(ValueError):
         R.theta_join(big, big, lambda a, b: a["id"] < b["id"])
+
+
+def test_item_similarity_of_busy_users(spark):
+    rng = random.Random(4)
+    rows = [("busy", i) for i in rng.sample(range(700), 620)] + [(f"u{rng.randint(0, 20)}", rng.randint(0, 699)) for _ in range(900)]
+    rows += [(None, 1), ("u1", None), rows[0]]
+    items = collections.defaultdict(set)
+    for u, i in rows:
+        items[i].add(u)
+    known = sorted(i for i in items if i is not None)
+    want = {}
+    for x, a in enumerate(known):
+        for b in known[x + 1 :]:
+            c = len((items[a] & items[b]) - {None})
+            if c:
+                want[a, b] = c / (len(items[a]) + len(items[b]) - c)
+    df = spark.createDataFrame(rows, "user string, item int")
+    for block in (500, 37):
+        got = {(r["a"], r["b"]): r["jaccard"] for r in L.item_similarity(df, "user", "item", block).collect()}
+        assert got == pytest.approx(want)
