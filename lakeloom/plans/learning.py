@@ -192,9 +192,38 @@ def graph_components(spark, d):
 
 @_r.add()
 def graph_page_rank(spark, d):
-    """Ranks after ten rounds."""
+    """Ranks after ten rounds, over all lines."""
     _checkpoints(spark)
-    return L.page_rank(_edges(spark, d), "s", "t")
+    return L.page_rank(_all_edges(spark, d), "s", "t")
+
+
+# The queries above keep the lines of their SQL; these take all lines and real ids.
+_ALL = "WITH e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS t FROM lineitem) "
+
+
+def _all_edges(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("t")).distinct()
+
+
+@_r.add(_ALL + "SELECT node, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree FROM (SELECT s AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT t, 0, 1 FROM e) GROUP BY node")
+def graph_degrees_whole(spark, d):
+    """Degrees of nodes, over all lines."""
+    return L.degrees(_all_edges(spark, d), "s", "t")
+
+
+@_r.add(_ALL + """, u AS (SELECT DISTINCT least(s, t) AS a, greatest(s, t) AS b FROM e WHERE s <> t),
+x AS (SELECT p.a AS i, p.b AS j, q.b AS k FROM u p JOIN u q ON p.b = q.a JOIN u r ON r.a = p.a AND r.b = q.b)
+SELECT node, count(*) AS triangles FROM (SELECT unnest([i, j, k]) AS node FROM x) GROUP BY node""")
+def graph_triangles_whole(spark, d):
+    """Triangles through each node, over all lines."""
+    return L.triangles(_all_edges(spark, d), "s", "t")
+
+
+@_r.add()
+def graph_components_whole(spark, d):
+    """Connected components of suppliers and parts (negative ids), over all lines."""
+    _checkpoints(spark)
+    return L.connected_components(_all_edges(spark, d).withColumn("t", -F.col("t")), "s", "t")
 
 
 @_r.add("""

@@ -14,6 +14,7 @@ from lakeloom.operators import learning as L
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import relational as R
 from lakeloom.operators import reshape as P
+from lakeloom.plans import learning as graphs
 from lakeloom.sources import tables as T
 
 
@@ -184,3 +185,39 @@ def test_item_similarity_of_busy_users(spark):
     for block in (500, 37):
         got = {(r["a"], r["b"]): r["jaccard"] for r in L.item_similarity(df, "user", "item", block).collect()}
         assert got == pytest.approx(want)
+
+
+def test_graphs_of_all_lines(spark, tmp_path):
+    rng = random.Random(6)
+    lines = [(n, rng.randint(1, 60), rng.randint(1, 150)) for n in range(1, 151)]  # most lines are no multiple of 40 or 97
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    edges = {(s, t) for _, s, t in lines}
+    nodes = {x for e in edges for x in e}
+    degrees = sorted((v, sum(s == v for s, _ in edges), sum(t == v for _, t in edges)) for v in nodes)
+    assert values(graphs.graph_degrees_whole(spark, str(tmp_path))) == sorted(degrees, key=repr)
+    near = collections.defaultdict(set)
+    for s, t in edges:
+        if s != t:
+            near[s].add(t), near[t].add(s)
+    through = {v: sum(b in near[a] for a in near[v] for b in near[v]) // 2 for v in nodes}
+    assert values(graphs.graph_triangles_whole(spark, str(tmp_path))) == sorted(((v, n) for v, n in through.items() if n), key=repr)
+
+    label = {x: x for s, t in edges for x in (s, -t)}
+    moved = True
+    while moved:
+        moved = False
+        for s, t in edges:
+            low = min(label[s], label[-t])
+            moved |= label[s] != low or label[-t] != low
+            label[s] = label[-t] = low
+    assert values(graphs.graph_components_whole(spark, str(tmp_path))) == sorted(label.items(), key=repr)
+
+    rank = dict.fromkeys(nodes, 1 / len(nodes))
+    out = collections.Counter(s for s, _ in edges)
+    for _ in range(10):
+        loose = sum(r for v, r in rank.items() if not out[v])
+        got = collections.Counter()
+        for s, t in edges:
+            got[t] += rank[s] / out[s]
+        rank = {v: (0.15 + 0.85 * loose) / len(nodes) + 0.85 * got[v] for v in nodes}
+    assert dict(values(graphs.graph_page_rank(spark, str(tmp_path)))) == pytest.approx(rank)
