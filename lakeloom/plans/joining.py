@@ -46,6 +46,41 @@ def join_outer_merged(spark, d):
     return R.join(*_sides(spark, d), on="k", how="outer", merge={"k": "auto"})
 
 
+# The four joins above keep the customers of their SQL; these join the whole customer table.
+def _whole(spark, d):
+    left = table(spark, d, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    right = table(spark, d, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("sid"), F.col("s_name").alias("name")).where("s_nationkey > 5")
+    return left.where("k < 20"), right
+
+
+_CTE_WHOLE = """WITH l AS (SELECT c_nationkey AS k, c_custkey AS id, c_name AS name FROM customer WHERE c_nationkey < 20),
+r AS (SELECT s_nationkey AS k, s_suppkey AS sid, s_name AS name FROM supplier WHERE s_nationkey > 5) """
+
+
+@_r.add(_CTE_WHOLE + "SELECT l.k, id, l.name AS name_x, sid, r.name AS name_y FROM l JOIN r ON l.k = r.k")
+def join_inner_whole(spark, d):
+    """join_inner over all customers."""
+    return R.join(*_whole(spark, d), on="k")
+
+
+@_r.add(_CTE_WHOLE + "SELECT l.k AS k_x, id, l.name AS name_x, r.k AS k_y, sid, r.name AS name_y FROM l LEFT JOIN r ON l.k = r.k")
+def join_left_whole(spark, d):
+    """join_left over all customers."""
+    return R.join(*_whole(spark, d), on="k", how="left")
+
+
+@_r.add(_CTE_WHOLE + "SELECT coalesce(l.k, r.k) AS k, id, l.name AS name_a, sid, r.name AS name_b FROM l RIGHT JOIN r ON l.k = r.k")
+def join_right_merged_whole(spark, d):
+    """join_right_merged over all customers."""
+    return R.join(*_whole(spark, d), on="k", how="right", merge=True, suffixes=("_a", "_b"))
+
+
+@_r.add(_CTE_WHOLE + "SELECT coalesce(l.k, r.k) AS k, id, l.name AS name_x, sid, r.name AS name_y FROM l FULL JOIN r ON l.k = r.k")
+def join_outer_merged_whole(spark, d):
+    """join_outer_merged over all customers."""
+    return R.join(*_whole(spark, d), on="k", how="outer", merge={"k": "auto"})
+
+
 @_r.add("SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey AND o_totalprice > c_acctbal * 20")
 def join_named_keys(spark, d):
     """Keys of different names and a further condition."""

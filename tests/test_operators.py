@@ -14,6 +14,7 @@ from lakeloom.operators import learning as L
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import relational as R
 from lakeloom.operators import reshape as P
+from lakeloom.plans import joining
 from lakeloom.plans import learning as graphs
 from lakeloom.sources import tables as T
 
@@ -221,3 +222,10 @@ def test_graphs_of_all_lines(spark, tmp_path):
             got[t] += rank[s] / out[s]
         rank = {v: (0.15 + 0.85 * loose) / len(nodes) + 0.85 * got[v] for v in nodes}
     assert dict(values(graphs.graph_page_rank(spark, str(tmp_path)))) == pytest.approx(rank)
+
+
+def test_joins_of_all_customers(spark, sf_dir):
+    left = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_nationkey < 20")
+    want = {r["c_custkey"] for r in left.collect()}
+    assert {r["id"] for r in joining.join_left_whole(spark, sf_dir).select("id").distinct().collect()} == want
+    assert {r["id"] for r in joining.join_outer_merged_whole(spark, sf_dir).where("id IS NOT NULL").select("id").distinct().collect()} == want
