@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,30 @@ def local_session(app: str = "lakeloom", cores: int | None = None, memory: str =
     )
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a local one of its own.
+
+    A local one is made only where the master is local; elsewhere a missing setting is
+    an error, as other machines could not read such a folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    held = shared or spark.sparkContext.getCheckpointDir()
+    if not held:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lakeloom-"))
+        held = spark.sparkContext.getCheckpointDir()
+    return held.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df.checkpoint(), with the folder of shared_dir() where the session has none yet."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, by name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
