@@ -30,14 +30,14 @@ def group_basic(spark, d):
 
 
 @_r.add("""
-SELECT event_type, median(value) AS med, quantile_cont(value, 0.25) AS q1, quantile_cont(value, [0.1, 0.9]) AS tails, round(skewness(value), 9) AS skew, round(kurtosis(value), 9) AS kurt,
+SELECT event_type, median(value) AS med, quantile_cont(value, 0.25) AS q1, list_transform(quantile_cont(value, [0.1, 0.9]), lambda x: round(x, 9)) AS tails, round(skewness(value), 9) AS skew, round(kurtosis(value), 9) AS kurt,
        round(avg(value ** 3), 6) AS m3, round(avg(value ** 2) - avg(value) ** 2, 6) AS c2
 FROM events GROUP BY event_type""")
 def group_moments(spark, d):
-    """Median, quantiles, moments, corrected skewness and kurtosis."""
+    """Median, quantiles (in an array, whose values are compared exactly, to nine places), moments, corrected skewness and kurtosis."""
     v = F.col("value")
     return table(spark, d, "events").groupBy("event_type").agg(
-        F.median(v).alias("med"), A.quantile(v, F.lit(0.25)).alias("q1"), A.quantile(v, F.array(F.lit(0.1), F.lit(0.9))).alias("tails"), F.round(A.skew(v), 9).alias("skew"),
+        F.median(v).alias("med"), A.quantile(v, F.lit(0.25)).alias("q1"), F.transform(A.quantile(v, F.array(F.lit(0.1), F.lit(0.9))), lambda x: F.round(x, 9)).alias("tails"), F.round(A.skew(v), 9).alias("skew"),
         F.round(A.kurtosis(v), 9).alias("kurt"), F.round(A.moment(v, 3), 6).alias("m3"), F.round(A.moment(v, 2, central=True), 6).alias("c2"),
     )
 
