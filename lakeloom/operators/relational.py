@@ -8,8 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes up to which a side may be broadcast on request.
-BROADCAST_BYTES = 256 << 20
+from lakeloom.functions.aggregates import quantile
+from lakeloom.operators.reshape import append_id
+
+#: Bytes up to which a side may be broadcast on request, by the optimizer's estimate; in memory it may be several times that.
+BROADCAST_BYTES = 64 << 20
 
 
 def small_enough(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
@@ -66,13 +69,17 @@ def where_parts(df: DataFrame, parts: str, exclude: bool = True) -> DataFrame:
     return out.drop(*names) if exclude else out
 
 
-def describe(df: DataFrame, *cols: str) -> DataFrame:
-    """A row per figure (count, mean, std, min, quartiles, max) with a column per numeric column."""
+def describe(df: DataFrame, *cols: str, approximate: bool = False) -> DataFrame:
+    """A row per figure (count, mean, std, min, quartiles, max) with a column per numeric column.
+
+    Exact quartiles hold a column's distinct values in one task; approximate ones a
+    sketch of bounded size, which is the choice for large tables.
+    """
     cols = cols or tuple(f.name for f in df.schema if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double") or f.dataType.typeName().startswith("decimal"))
     figures = {
         "count": lambda c: F.count(c), "mean": F.avg, "std": F.stddev_samp, "min": F.min,
-        "quantile_25": lambda c: F.percentile(c, F.lit(0.25)), "quantile_50": lambda c: F.percentile(c, F.lit(0.5)),
-        "quantile_75": lambda c: F.percentile(c, F.lit(0.75)), "max": F.max,
+        "quantile_25": lambda c: quantile(c, F.lit(0.25), approximate), "quantile_50": lambda c: quantile(c, F.lit(0.5), approximate),
+        "quantile_75": lambda c: quantile(c, F.lit(0.75), approximate), "max": F.max,
     }
     rows = F.array(*[
         F.struct(F.lit(n).alias("type"), *[f(F.col(c)).cast("double").alias(c) for c in cols]) for n, f in figures.items()
@@ -135,11 +142,24 @@ def theta_join(left: DataFrame, right: DataFrame, cond, how: str = "inner") -> D
     return left.join(F.broadcast(right), cond(left, right), how)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, salts: int = 16) -> DataFrame:
-    """Inner equi-join with each left key spread over salts and right rows repeated for each."""
-    a = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return a.join(b, [key, "_salt"]).drop("_salt")
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", per: int = 1_000_000) -> DataFrame:
+    """Equi-join (inner, left, right or outer) on a key of both sides, with hot keys of the left side split.
+
+    Keys with over `per` left rows (so at most rows / per of them) are counted first.
+    Their left rows are dealt over as many salts by place, so equal rows are split as
+    well, and the right rows of such a key are repeated for each salt; all other keys
+    stay as they are. Right rows without a match, which repeats would multiply, are
+    added from an anti join. NULL keys don't match; the key comes once, first.
+    """
+    hot = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.ceil(F.count("*") / per).cast("int").alias("_n")).where("_n > 1")
+    deal = lambda df: df.join(hot, key, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    a = deal(left).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.col("_n")).cast("int")).drop("_n")
+    b = deal(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    out = a.join(b, [key, "_salt"], {"inner": "inner", "right": "inner"}.get(how, "left")).drop("_salt")
+    if how in ("right", "outer"):
+        alone = right.join(left.select(key).distinct(), key, "left_anti")
+        out = out.unionByName(alone, allowMissingColumns=True)
+    return out
 
 
 def semi(left: DataFrame, col: str, right: DataFrame, right_col: str) -> DataFrame:
@@ -205,6 +225,23 @@ def window_of(df: DataFrame, start: int, stop: int | None, by: Sequence) -> Data
     return out if stop is None else out.limit(stop - start)
 
 
+def tail(df: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """The last n rows in the order of the columns by."""
+    return df.orderBy(*[F.col(c).desc() for c in by]).limit(n)
+
+
+def slice_rows(df: DataFrame, by: Sequence, start: int = 0, stop: int | None = None, step: int = 1) -> DataFrame:
+    """Every step-th row from start to stop in an order of unique keys; places come from dense ids, not from one task."""
+    i = F.col("_place")
+    held = append_id(df, by, "_place").where(i >= start).where((i - start) % step == 0)
+    return (held if stop is None else held.where(i < stop)).drop("_place")
+
+
+def random_number(seed: int | None = None) -> Column:
+    """A number in [0, 1) for each row; with a seed alike as long as rows keep their partitions and order."""
+    return F.rand(seed)
+
+
 def distinct_on(df: DataFrame, *cols) -> DataFrame:
     """Distinct tuples of cols, and only those columns."""
     return df.select(*cols).distinct() if cols else df.distinct()

@@ -6,10 +6,11 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.session import checkpointed
+
 _NUMERIC = {"byte", "short", "integer", "long", "float", "double"}
 
 #: Distinct values that a pivot or a key discovery may make into columns.
@@ -180,11 +181,10 @@ def std_scale(df: DataFrame, columns=None, with_means: bool = True, with_std: bo
 def append_id(df: DataFrame, order: Sequence, name: str = "append_id") -> DataFrame:
     """Dense ids from 0 in the order of keys that together are unique.
 
-    The sorted rows are kept (memory, then disk) with their partition and place; the
-    partitions' sizes, one small row each, give the offsets. No single task sees all
-    rows.
+    The sorted rows are a checkpoint with their partition and place; the partitions'
+    sizes, one small row each, give the offsets. No single task sees all rows.
     """
-    held = df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    held = checkpointed(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
     part = F.shiftright("_m", 33)
     sizes = held.groupBy(part.alias("_p")).agg(F.count("*").alias("_c"))
     starts = sizes.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_s"))
