@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.session import checkpointed
+
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, r) for each pair of columns, in one aggregate."""
@@ -89,7 +91,7 @@ def page_rank(edges: DataFrame, src: str, dst: str, rounds: int = 10, damping: f
     e = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).where("s IS NOT NULL AND d IS NOT NULL").distinct()
     out = e.groupBy("s").agg(F.count("*").alias("deg"))
     nodes = e.select("s").union(e.select("d")).distinct().withColumnRenamed("s", "node")
-    held = nodes.join(out.withColumnRenamed("s", "node"), "node", "left").checkpoint()
+    held = checkpointed(nodes.join(out.withColumnRenamed("s", "node"), "node", "left"))
     n = held.count()
     if not n:
         return held.select("node", F.lit(0.0).alias("rank"))
@@ -97,9 +99,9 @@ def page_rank(edges: DataFrame, src: str, dst: str, rounds: int = 10, damping: f
     for _ in range(rounds):
         loose = ranks.agg(F.coalesce(F.sum(F.when(F.col("deg").isNull(), F.col("rank"))), F.lit(0.0)).alias("_loose"))
         sent = e.join(ranks.where("deg IS NOT NULL"), F.col("s") == F.col("node")).groupBy("d").agg(F.sum(F.col("rank") / F.col("deg")).alias("got"))
-        ranks = held.join(sent, F.col("node") == F.col("d"), "left").crossJoin(F.broadcast(loose)).select(  # one row
+        ranks = checkpointed(held.join(sent, F.col("node") == F.col("d"), "left").crossJoin(F.broadcast(loose)).select(  # one row
             "node", "deg", (F.lit((1 - damping) / n) + damping * (F.coalesce("got", F.lit(0.0)) + F.col("_loose") / n)).alias("rank")
-        ).checkpoint()
+        ))
     return ranks.select("node", "rank")
 
 
@@ -148,12 +150,27 @@ def linear_regression(df: DataFrame, cols: Sequence[str], label: str) -> DataFra
     return LinearRegression(labelCol=label, solver="normal").fit(held).transform(held).drop("features")
 
 
-def boosted_trees(df: DataFrame, cols: Sequence[str], label: str, rounds: int = 10, seed: int = 1) -> DataFrame:
-    """df with prediction, by gradient-boosted trees."""
+def linear_predictions(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """test with prediction, by least squares over train."""
+    from pyspark.ml.regression import LinearRegression
+
+    return LinearRegression(labelCol=label, solver="normal").fit(assembled(train, cols)).transform(assembled(test, cols)).drop("features")
+
+
+def linear_coefficients(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """(feature, coefficient) by least squares; the intercept is the feature `intercept`."""
+    from pyspark.ml.regression import LinearRegression
+
+    model = LinearRegression(labelCol=label, solver="normal").fit(assembled(df, cols))
+    return df.sparkSession.createDataFrame([*((c, float(v)) for c, v in zip(cols, model.coefficients)), ("intercept", float(model.intercept))], "feature string, coefficient double")
+
+
+def boosted_trees(df: DataFrame, cols: Sequence[str], label: str, rounds: int = 10, seed: int = 1, bins: int = 32) -> DataFrame:
+    """df with prediction, by gradient-boosted trees; bins: split candidates of a column."""
     from pyspark.ml.regression import GBTRegressor
 
     held = assembled(df, cols)
-    return GBTRegressor(labelCol=label, maxIter=rounds, seed=seed).fit(held).transform(held).drop("features")
+    return GBTRegressor(labelCol=label, maxIter=rounds, seed=seed, maxBins=bins).fit(held).transform(held).drop("features")
 
 
 def logistic_regression(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -164,12 +181,41 @@ def logistic_regression(df: DataFrame, cols: Sequence[str], label: str) -> DataF
     return LogisticRegression(labelCol=label).fit(held).transform(held).drop("features", "rawPrediction", "probability")
 
 
-def importances(df: DataFrame, cols: Sequence[str], label: str, trees: int = 20, seed: int = 1) -> DataFrame:
-    """(feature, importance) of a random forest; one row per column."""
-    from pyspark.ml.regression import RandomForestRegressor
+def importances(df: DataFrame, cols: Sequence[str], label: str, trees: int = 20, seed: int = 1, method: str = "forest") -> DataFrame:
+    """(feature, importance), one row per column.
 
-    model = RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed).fit(assembled(df, cols))
-    return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(cols, model.featureImportances.toArray())], "feature string, importance double")
+    method: forest or boosted (share of the splits' gains), or linear (size of the
+    coefficient times the column's deviation).
+    """
+    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+
+    held = assembled(df, cols)
+    if method == "linear":
+        model = LinearRegression(labelCol=label, solver="normal").fit(held)
+        spread = df.agg(*[F.stddev_samp(c) for c in cols]).first()
+        values = [abs(b) * (s or 0.0) for b, s in zip(model.coefficients, spread)]
+    else:
+        made = {"forest": lambda: RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed), "boosted": lambda: GBTRegressor(labelCol=label, maxIter=trees, seed=seed)}[method]()
+        values = made.fit(held).featureImportances.toArray()
+    return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(cols, values)], "feature string, importance double")
+
+
+def select_features(df: DataFrame, cols: Sequence[str], label: str, keep: int, **how) -> DataFrame:
+    """df without the columns of cols that are not among the `keep` most important; equal ones by name."""
+    ranked = sorted(importances(df, cols, label, **how).collect(), key=lambda r: (-r["importance"], r["feature"]))  # a row per column
+    best = {r["feature"] for r in ranked[:keep]}
+    return df.drop(*[c for c in cols if c not in best])
+
+
+def binned(df: DataFrame, col: str, edges: DataFrame, name: str = "bin") -> DataFrame:
+    """df with the bin of col under edges (one row, an ascending array edges, as quantile_bins gives it).
+
+    Bin i holds edges[i] < value <= edges[i + 1]; values at or under the second edge are
+    in bin 0, those over the last but one in the last. NULL has no bin.
+    """
+    inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
+    at = F.when(F.col(col).isNotNull(), F.size(F.filter(inner, lambda e: e < F.col(col))))
+    return df.crossJoin(F.broadcast(edges.select(F.col("edges").alias("_edges")))).withColumn(name, at).drop("_edges")
 
 
 def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -189,14 +235,14 @@ def connected_components(edges: DataFrame, src: str, dst: str, rounds: int = 100
     move after so many rounds. Edges with a NULL end are left out.
     """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    both = e.union(e.select("b", "a")).distinct().checkpoint()
+    both = checkpointed(e.union(e.select("b", "a")).distinct())
     ends = edges.select(F.explode(F.array(src, dst)).alias("node")).where("node IS NOT NULL").distinct()
-    labels = ends.select("node", F.col("node").alias("component")).checkpoint()
+    labels = checkpointed(ends.select("node", F.col("node").alias("component")))
     for _ in range(rounds):
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("m"))
         met = labels.join(near, F.col("node") == F.col("a"), "left").select("node", "component", F.least("component", F.coalesce("m", "component")).alias("m"))
         up = met.select(F.col("node").alias("p"), F.col("m").alias("pm"))
-        new = met.join(up, F.col("m") == F.col("p")).select("node", F.least("m", "pm").alias("component"), (F.least("m", "pm") < F.col("component")).alias("moved")).checkpoint()
+        new = checkpointed(met.join(up, F.col("m") == F.col("p")).select("node", F.least("m", "pm").alias("component"), (F.least("m", "pm") < F.col("component")).alias("moved")))
         labels = new.select("node", "component")
         if not new.where("moved").limit(1).count():
             return labels

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.session import checkpointed
+
 
 def confusion(df: DataFrame, true: str, pred: str) -> DataFrame:
     """(true, pred, n) of all pairs that occur."""
@@ -45,27 +49,26 @@ def averaged(df: DataFrame, true: str, pred: str, average: str = "macro", pos_la
 
 
 def curve(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
-    """(threshold, tp, fp, p, n) at each distinct score, from the highest.
+    """(threshold, p1, n1, tp, fp, p, n) at each distinct score, from the highest; p1 and n1 are those of the score.
 
-    Counts are aggregated per score first; the running sums go over distinct scores in
-    ranges of their own, so no single task sees them all.
+    Counts are aggregated per score first; distinct scores are dealt to ranges of about
+    equal numbers, whatever their distribution, and the running sums go over each range
+    from where the higher ranges end, so no single task sees them all.
     """
     pos = F.col(true) == pos_label
     steps = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(pos).alias("p1"), F.count_if(~F.coalesce(pos, F.lit(False))).alias("n1")
     )
-    lo_hi = steps.agg(F.min("threshold").alias("lo"), F.max("threshold").alias("hi"))
-    bucket = F.coalesce(F.floor(F.try_divide((F.col("threshold") - F.col("lo")) * 1023, F.col("hi") - F.col("lo"))), F.lit(0))
-    dealt = steps.crossJoin(F.broadcast(lo_hi)).withColumn("b", bucket)
+    dealt = checkpointed(steps.repartitionByRange(F.desc("threshold")).withColumn("b", F.spark_partition_id()))
     sums = dealt.groupBy("b").agg(F.sum("p1").alias("bp"), F.sum("n1").alias("bn"))
-    up = Window.orderBy(F.desc("b"))  # over 1024 rows at most
+    up = Window.orderBy("b")  # a row per range
     starts = sums.select(
         "b", (F.sum("bp").over(up) - F.col("bp")).alias("sp"), (F.sum("bn").over(up) - F.col("bn")).alias("sn"),
         F.sum("bp").over(Window.partitionBy()).alias("p"), F.sum("bn").over(Window.partitionBy()).alias("n"),
     )
     w = Window.partitionBy("b").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     return dealt.join(F.broadcast(starts), "b").select(
-        "threshold", (F.sum("p1").over(w) + F.col("sp")).alias("tp"), (F.sum("n1").over(w) + F.col("sn")).alias("fp"), "p", "n"
+        "threshold", "p1", "n1", (F.sum("p1").over(w) + F.col("sp")).alias("tp"), (F.sum("n1").over(w) + F.col("sn")).alias("fp"), "p", "n"
     )
 
 
@@ -76,12 +79,8 @@ def roc_curve(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
 
 def roc_auc(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
     """One row: the area, from average ranks of tied scores (equal to the trapezoid rule)."""
-    c = curve(df, true, score, pos_label)
-    steps = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.count_if(F.col(true) == pos_label).alias("p1"), F.count_if(~F.coalesce(F.col(true) == pos_label, F.lit(False))).alias("n1")
-    )
     area = F.sum(F.col("n1").cast("double") * (F.col("tp") - F.col("p1") / 2.0))
-    return c.join(steps, "threshold").agg(F.try_divide(area, F.max("p").cast("double") * F.max("n")).alias("auc"))
+    return curve(df, true, score, pos_label).agg(F.try_divide(area, F.max("p").cast("double") * F.max("n")).alias("auc"))
 
 
 def precision_recall_curve(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
@@ -92,10 +91,8 @@ def precision_recall_curve(df: DataFrame, true: str, score: str, pos_label=1) ->
 
 def average_precision(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
     """One row: precision summed over the gains in recall."""
-    c = curve(df, true, score, pos_label)
-    steps = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(F.count_if(F.col(true) == pos_label).alias("p1"))
     gain = F.col("p1").cast("double") / F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp"))
-    return c.join(steps, "threshold").agg(F.sum(gain).alias("average_precision"))
+    return curve(df, true, score, pos_label).agg(F.sum(gain).alias("average_precision"))
 
 
 def gain_chart(df: DataFrame, true: str, score: str, pos_label=1) -> DataFrame:
@@ -148,6 +145,19 @@ def calinski_harabasz(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     return per.crossJoin(F.broadcast(whole)).agg((F.sum(ssb) / (F.count("*") - 1) / (F.sum(ssw) / (F.sum("n") - F.count("*")))).alias("score"))
 
 
-def k_fold(df: DataFrame, n: int, columns: list[str], seed: int = 0) -> DataFrame:
-    """df with fold (0 to n-1) from a hash of columns."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(n)).cast("int"))
+def k_fold(df: DataFrame, n: int, columns: list[str] | None = None, seed: int = 0, by: Column | None = None) -> DataFrame:
+    """df with fold (0 to n-1) from a hash of columns, or from a whole number `by` of each row."""
+    place = by if by is not None else F.xxhash64(F.lit(seed), *columns)
+    return df.withColumn("fold", F.pmod(place, F.lit(n)).cast("int"))
+
+
+def train_test(df: DataFrame, n: int, columns: list[str] | None = None, seed: int = 0, by: Column | None = None) -> list[tuple[DataFrame, DataFrame]]:
+    """Of n folds, each as (the others, itself)."""
+    held = k_fold(df, n, columns, seed, by)
+    return [(held.where(F.col("fold") != i).drop("fold"), held.where(F.col("fold") == i).drop("fold")) for i in range(n)]
+
+
+def cross_val_score(df: DataFrame, fit_predict, score, n: int = 5, columns: list[str] | None = None, seed: int = 0, by: Column | None = None) -> DataFrame:
+    """(fold, score): fit_predict(train, test) gives test with predictions, of which score makes one row with a column score."""
+    pairs = train_test(df, n, columns, seed, by)
+    return reduce(DataFrame.unionByName, [score(fit_predict(a, b)).select(F.lit(i).alias("fold"), F.col("score").cast("double").alias("score")) for i, (a, b) in enumerate(pairs)])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,35 +36,40 @@ def hll_merge(sketch: Column) -> Column:
     return F.hll_sketch_estimate(F.hll_union_agg(sketch))
 
 
-#: Bits of a Bloom filter that may be sent to every task.
-MOST_BITS = 1 << 30
+#: Bits of a block of a Bloom filter, and how much larger a blocked filter is than a plain one of the same error rate.
+BLOCK_BITS, ROOM = 512, 1.3
 
 
 def bloom_bits(capacity: int, error_rate: float) -> tuple[int, int]:
-    """Bits and hashes of a filter for so many keys at a false positive rate."""
-    bits = max(64, math.ceil(-capacity * math.log(error_rate) / math.log(2) ** 2))
-    return min(bits, MOST_BITS), max(1, round(bits / capacity * math.log(2)))
+    """Blocks and hashes of a filter for so many keys at a false positive rate."""
+    bits = max(1.0, -capacity * math.log(error_rate) / math.log(2) ** 2)
+    return max(1, math.ceil(ROOM * bits / BLOCK_BITS)), max(1, round(-math.log2(error_rate)))
 
 
 def bloom_filter(df: DataFrame, on: str, keys: DataFrame, column: str, capacity: int = 3000, error_rate: float = 0.01) -> DataFrame:
     """Rows whose key may be among keys' column: all true ones and a few false ones.
 
-    The filter is a table of set 64-bit words (at most MOST_BITS bits), aggregated
-    from the keys and joined once per hash; a NULL key goes.
+    A key's hashes all lie in one block of BLOCK_BITS bits, so the filter is a table of
+    blocks (eight words each), aggregated from the keys and joined once. It may have any
+    size, as Spark broadcasts it only if it is small; a NULL key goes.
     """
-    bits, hashes = bloom_bits(capacity, error_rate)
-
-    def places(c: Column) -> Column:
-        return F.array(*[F.pmod(F.xxhash64(F.lit(i), c), F.lit(bits)) for i in range(hashes)])
-
-    set_bits = keys.where(F.col(column).isNotNull()).select(F.explode(places(F.col(column).cast("string"))).alias("b"))
-    words = set_bits.groupBy(F.shiftright("b", 6).alias("_w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("b", F.lit(64)).cast("int"))).alias("_bits"))
-    out = df.where(F.col(on).isNotNull())
-    for i in range(hashes):
-        at = F.pmod(F.xxhash64(F.lit(i), F.col(on).cast("string")), F.lit(bits))
-        hit = F.call_function("getbit", F.col("_bits"), F.pmod(at, F.lit(64)).cast("int")) == 1
-        out = out.join(words, (F.shiftright(at, 6) == F.col("_w")) & hit, "left_semi")
-    return out
+    blocks, hashes = bloom_bits(capacity, error_rate)
+
+    def block(c: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), c.cast("string")), F.lit(blocks))
+
+    def words(c: Column) -> list[Column]:
+        """The bits of a key in each of the block's words."""
+        at = [F.pmod(F.xxhash64(F.lit(i), c.cast("string")), F.lit(BLOCK_BITS)) for i in range(hashes)]
+        bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(p, F.lit(64)).cast("int"))
+        return [reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.shiftright(p, 6) == w, bit(p)).otherwise(F.lit(0).cast("long")) for p in at]) for w in range(BLOCK_BITS // 64)]
+
+    k = F.col(column)
+    made = keys.where(k.isNotNull()).select(block(k).alias("_block"), *[x.alias(f"_w{i}") for i, x in enumerate(words(k))])
+    held = made.groupBy("_block").agg(*[F.bit_or(c).alias(c) for c in made.columns[1:]])
+    probe = df.where(F.col(on).isNotNull()).withColumn("_probe", F.struct(block(F.col(on)).alias("b"), *[x.alias(f"w{i}") for i, x in enumerate(words(F.col(on)))]))
+    inside = reduce(lambda x, y: x & y, [F.col(f"_w{i}").bitwiseAND(F.col(f"_probe.w{i}")) == F.col(f"_probe.w{i}") for i in range(BLOCK_BITS // 64)])
+    return probe.join(held, (F.col("_probe.b") == F.col("_block")) & inside, "left_semi").drop("_probe")
 
 
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import sketches as K
 from lakeloom.plans.registry import Registry
-from lakeloom.session import table
+from lakeloom.session import shared_dir, table
 from lakeloom.sources import tables as T
 from lakeloom.streaming import events as V
 
@@ -19,13 +19,8 @@ QUERIES, ORACLES = _r.queries, _r.oracles
 
 
 def _work(spark) -> str:
-    """A fresh folder under the session's shared one (spark.checkpoint.dir), or a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        import uuid
-
-        return f"{shared.rstrip('/')}/plans-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="lakeloom-")
+    """A fresh folder under the session's shared one."""
+    return f"{shared_dir(spark)}/plans-{uuid.uuid4().hex}"
 
 
 @_r.add("SELECT s_suppkey, s_nationkey * 10 + 1 AS m FROM supplier")
@@ -96,33 +91,39 @@ def map_reduce_words(spark, d):
     return U.map_reduce(table(spark, d, "benchmark"), mapper, "word string, n long", ["word"], add, "word string, n long", combiner=add)
 
 
-@_r.add("SELECT true AS close FROM (SELECT 1)")
+@_r.add("SELECT count(DISTINCT l_partkey) AS n, true AS close FROM lineitem")
 def sketch_distinct(spark, d):
-    """A distinct-count sketch within five hundredths of the truth."""
+    """A distinct count, and whether its sketch is within five hundredths of it."""
     t = table(spark, d, "lineitem").agg(K.hll_count(F.col("l_partkey"), 0.01).alias("e"), F.count_distinct("l_partkey").alias("n"))
-    return t.select((F.abs(F.col("e") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
+    return t.select("n", (F.abs(F.col("e") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
 
 
-@_r.add("SELECT true AS close FROM (SELECT 1)")
+@_r.add("SELECT count(DISTINCT l_partkey) AS n, true AS close FROM lineitem")
 def sketch_merged(spark, d):
-    """Sketches per group, merged."""
+    """Sketches per group, merged, beside the distinct count of all groups."""
     parts = table(spark, d, "lineitem").groupBy("l_returnflag").agg(K.hll_sketch(F.col("l_partkey")).alias("s"))
     n = table(spark, d, "lineitem").agg(F.count_distinct("l_partkey").alias("n"))
-    return parts.agg(K.hll_merge(F.col("s")).alias("e")).crossJoin(n).select((F.abs(F.col("e") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
+    return parts.agg(K.hll_merge(F.col("s")).alias("e")).crossJoin(n).select("n", (F.abs(F.col("e") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
 
 
-@_r.add("SELECT true AS whole, true AS few FROM (SELECT 1)")
+@_r.add("SELECT c_custkey, true AS kept FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def bloom_members(spark, d):
-    """A Bloom filter keeps every true row and few others."""
-    o = table(spark, d, "orders")
-    keys = o.where("o_totalprice > 300000")
-    true = keys.select("o_custkey").distinct()
-    got = K.bloom_filter(table(spark, d, "customer"), "c_custkey", keys, "o_custkey", 3000, 0.01)
-    marked = got.join(true, got["c_custkey"] == true["o_custkey"], "left")
-    n = true.agg(F.count("*").alias("t"))
-    return marked.agg(F.count("o_custkey").alias("hit"), F.count_if(F.col("o_custkey").isNull()).alias("false")).crossJoin(n).select(
-        (F.col("hit") == F.col("t")).alias("whole"), (F.col("false") <= 60).alias("few")
-    )
+    """Every true member and whether a Bloom filter keeps it."""
+    keys = table(spark, d, "orders").where("o_totalprice > 300000")
+    customers = table(spark, d, "customer").select("c_custkey")
+    got = K.bloom_filter(customers, "c_custkey", keys, "o_custkey", 3000, 0.01).select("c_custkey", F.lit(True).alias("kept"))
+    true = customers.join(keys, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    return true.join(got, "c_custkey", "left").select("c_custkey", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+@_r.add("SELECT true AS few FROM (SELECT 1)")
+def bloom_false_positives(spark, d):
+    """Under a fiftieth of the keys that a filter never saw pass it."""
+    keys = table(spark, d, "lineitem").select("l_orderkey").distinct()
+    strange = keys.select((-F.col("l_orderkey")).alias("k"))
+    n = keys.agg(F.count("*").alias("n")).first()[0]
+    kept = K.bloom_filter(strange, "k", keys, "l_orderkey", n, 0.01).agg(F.count("*").alias("kept"))
+    return kept.select((F.col("kept") <= 0.02 * n).alias("few"))
 
 
 def _round_trip(form: str, **options):
@@ -222,11 +223,13 @@ def sketch_top(spark, d):
 
 
 @_r.add(r"""
-SELECT lang, count(DISTINCT word) > 0 AS some FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY lang""")
+SELECT lang, count(DISTINCT word) AS n, true AS close FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY lang""")
 def sketch_tokens(spark, d):
-    """Distinct tokens per language, estimated."""
-    out = K.hll_tokens(table(spark, d, "documents"), "text", " ", ["lang"])
-    return out.select("lang", (F.col("hll_count") > 0).alias("some"))
+    """Distinct tokens per language, and whether their sketch is within five hundredths of them."""
+    docs = table(spark, d, "documents")
+    told = docs.select("lang", F.explode(F.split("text", " ")).alias("word")).groupBy("lang").agg(F.count_distinct("word").alias("n"))
+    met = told.alias("t").join(K.hll_tokens(docs, "text", " ", ["lang"]).alias("s"), F.col("t.lang").eqNullSafe(F.col("s.lang")))
+    return met.select("t.lang", "n", (F.abs(F.col("hll_count") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
 
 
 def _stream(spark, d):
@@ -237,11 +240,10 @@ def _stream(spark, d):
 
 
 def _windowed(spark, d, make):
-    """A stream's complete result, through a memory table of its own name."""
+    """A stream's complete result, through files."""
     stream, folder = _stream(spark, d)
-    name = f"m_{os.path.basename(folder).replace('-', '_')}"
-    V.run(make(stream), f"{folder}/state", mode="complete", name=name)
-    return spark.table(name)
+    V.run(make(stream), f"{folder}/state", mode="complete", each=V.kept_whole(f"{folder}/out"))
+    return spark.read.parquet(f"{folder}/out")
 
 
 @_r.add("SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2")
@@ -285,3 +287,92 @@ def stream_state(spark, d):
     keep = lambda batch, i: batch.withColumn("i", F.lit(i)).write.mode("append").parquet(f"{folder}/out")
     V.run(V.running_totals(stream, "user_id", "value"), f"{folder}/state", mode="update", each=keep)
     return T.latest(spark.read.parquet(f"{folder}/out"), ["user_id"], "i").select("user_id", "n", F.round("total", 6).alias("total"))
+
+
+@_r.add("""
+SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 1 THEN c_acctbal + 100 ELSE c_acctbal END AS b FROM customer WHERE c_custkey % 6 <> 0""")
+def stream_upsert(spark, d):
+    """A stream of keyed changes, out of order, merged into a table batch by batch."""
+    base = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("b"))
+    change = lambda rows, v, op, b: rows.select("k", b.alias("b"), F.lit(v).alias("v"), F.lit(op).alias("op"))
+    b = F.col("b")
+    changes = change(base.where("k % 4 = 1"), 2, "put", b + 100).union(change(base.where("k % 4 = 1"), 1, "put", b * 0)).union(change(base.where("k % 6 = 0"), 3, "delete", b))
+    folder = _work(spark)
+    changes.repartition(3, "k").write.parquet(f"{folder}/in")  # all changes of a key come in one batch
+    stream = V.source(spark, f"{folder}/in", changes.schema)
+    V.run(stream, f"{folder}/state", each=V.upserted(base, f"{folder}/table", ["k"], "v", "op"))
+    return spark.read.parquet(f"{folder}/table/3")
+
+
+@_r.add("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def arrow_batches(spark, d):
+    """A small table brought to the driver as Arrow batches, and made a table again."""
+    df = table(spark, d, "nation")
+    return spark.createDataFrame(pa.Table.from_batches(list(T.batches(df))))
+
+
+@_r.add("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+def read_partition(spark, d):
+    """Rows of a named partition."""
+    path = f"{_work(spark)}/t"
+    T.write(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path, partition_by=["o_orderstatus", "o_orderpriority"])
+    return T.read(spark, path, partition="o_orderstatus=F,o_orderpriority=1-URGENT", columns=["o_orderkey", "o_orderpriority"])
+
+
+@_r.add("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
+def persist_named(spark, d):
+    """A catalog table of a partition, read by name."""
+    name, path = f"t_{uuid.uuid4().hex}", f"{_work(spark)}/t"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus").where("o_orderstatus IN ('O', 'F')")
+    T.persist(rows, name, {"ds": "a"}, ["o_orderstatus"], path=path)
+    return T.read_named(spark, name, where=(F.col("ds") == "a") & (F.col("o_orderstatus") == "O"), columns=["o_orderkey", "o_orderstatus"])
+
+
+@_r.add("SELECT CAST(s_name AS VARCHAR) AS name, CAST(s_suppkey AS DOUBLE) AS key, CAST(NULL AS INTEGER) AS missing FROM supplier")
+def aligned_columns(spark, d):
+    """Columns put into a table's order and types, a missing one NULL."""
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("KEY"), F.col("s_name").alias("name"))
+    return T.aligned(rows, [("name", "string"), ("key", "double"), ("missing", "int")])
+
+
+@_r.add("SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'orders', count(*) FROM orders")
+def actions_together(spark, d):
+    """Several actions run side by side."""
+    names = ("nation", "region", "orders")
+    counts = T.together(*[lambda n=n: table(spark, d, n).count() for n in names])
+    return spark.createDataFrame(list(zip(names, counts)), "name string, n long")
+
+
+@_r.add("SELECT true AS known FROM (SELECT 1)")
+def statement_cost(spark, d):
+    """Whether the optimizer's estimate of a scan is a positive size that a narrower scan undercuts."""
+    whole, part = T.cost(table(spark, d, "orders")), T.cost(table(spark, d, "orders").select("o_orderkey"))
+    return spark.createDataFrame([(0 < part["bytes"] < whole["bytes"],)], "known boolean")
+
+
+@U.output(["letter", "place"], ["string", "int"])
+def _letters(row):
+    return [(c, i) for i, c in enumerate(row.r_name) if c == "A"]
+
+
+@_r.add("SELECT 'A' AS letter, CAST(i - 1 AS INTEGER) AS place, r_regionkey FROM (SELECT r_regionkey, r_name, unnest(range(1, length(r_name) + 1)) AS i FROM region) WHERE r_name[i] = 'A'")
+def udf_declared_output(spark, d):
+    """A row function that declares its output columns."""
+    return U.apply_rows(table(spark, d, "region"), _letters, keep=["r_regionkey"])
+
+
+@U.annotate("bigint -> bigint")
+class _Scaled:
+    """A function class with a resource."""
+
+    def __init__(self, factor):
+        self.factor = factor
+
+    def evaluate(self, x):
+        return None if x is None else x * self.factor
+
+
+@_r.add("SELECT s_suppkey, s_suppkey * 7 AS scaled FROM supplier")
+def udf_annotated(spark, d):
+    """A function class with declared types and a resource."""
+    return table(spark, d, "supplier").select("s_suppkey", U.map_column(F.col("s_suppkey"), _Scaled, resources=(7,)).alias("scaled"))

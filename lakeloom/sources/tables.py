@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators.relational import where_parts
 
-def read(spark: SparkSession, path: str, form: str = "parquet", columns: Sequence[str] | None = None, where: Column | None = None, schema=None, limit: int | None = None, **options) -> DataFrame:
-    """A table by path and format; the columns and the filter reach the scan."""
+
+def read(spark: SparkSession, path: str, form: str = "parquet", columns: Sequence[str] | None = None, where: Column | None = None, schema=None, limit: int | None = None, partition: str | None = None, **options) -> DataFrame:
+    """A table by path and format; the columns, the filter and a partition (`a=1,b=x`) reach the scan.
+
+    Rows have no order of their own; relational.slice_rows takes start, stop and step in one.
+    """
     reader = spark.read.format(form).options(**options)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
+    df = df if partition is None else where_parts(df, partition, exclude=False)
     df = df if where is None else df.where(where)
     df = df.select(*columns) if columns else df
     return df if limit is None else df.limit(limit)
@@ -27,10 +34,18 @@ def read_named(spark: SparkSession, name: str, **how) -> DataFrame:
     return df.limit(how["limit"]) if how.get("limit") is not None else df
 
 
-def batches(df: DataFrame):
-    """Rows as Arrow batches, partition by partition."""
-    for batch in df.toLocalIterator(prefetchPartitions=True):
-        yield batch
+def batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches, one partition at a time at the driver."""
+
+    def packed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["b"])
+
+    for row in df.mapInArrow(packed, "b binary").toLocalIterator(prefetchPartitions=True):
+        yield from pa.ipc.open_stream(row["b"])
 
 
 def aligned(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -50,12 +65,13 @@ def write(df: DataFrame, path: str, form: str = "parquet", mode: str = "append",
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def persist(df: DataFrame, name: str, partition: dict | None = None, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Writes df as a catalog table; partition gives constant partition values."""
+def persist(df: DataFrame, name: str, partition: dict | None = None, partition_by: Sequence[str] = (), mode: str = "overwrite", path: str | None = None) -> None:
+    """Writes df as a catalog table (its files under path, if given); partition gives constant partition values."""
     for k, v in (partition or {}).items():
         df = df.withColumn(k, F.lit(v))
     keys = [*(partition or {}), *partition_by]
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = writer if path is None else writer.option("path", path)
     (writer.partitionBy(*keys) if keys else writer).saveAsTable(name)
 
 

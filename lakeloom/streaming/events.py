@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lakeloom.sources.tables import upsert
+
 
 def source(spark: SparkSession, path: str, schema, files: int = 1, form: str = "parquet") -> DataFrame:
     """A file source that takes a few new files per batch."""
@@ -58,6 +60,26 @@ def running_totals(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def kept_whole(path: str) -> Callable:
+    """For run(each=..) in complete mode: each batch's result takes the place of the one before, in files."""
+    return lambda batch, i: batch.write.mode("overwrite").parquet(path)
+
+
+def upserted(base: DataFrame, path: str, keys: list[str], version: str, op: str | None = None) -> Callable:
+    """For run(each=..): each batch of changes is merged into the table, under path/number; path/0 is base.
+
+    Number n holds all batches up to n - 1, so a batch that is repeated after a failure
+    is merged into the same table as before.
+    """
+    base.write.mode("overwrite").parquet(f"{path}/0")
+
+    def each(batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        upsert(spark.read.parquet(f"{path}/{i}"), batch, keys, version, op).write.mode("overwrite").parquet(f"{path}/{i + 1}")
+
+    return each
+
+
 def run(df: DataFrame, checkpoint: str, path: str | None = None, mode: str = "append", each: Callable | None = None, name: str | None = None) -> None:
     """Runs the stream over what there is: into files, a function of (batch, number), or a memory table."""
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
