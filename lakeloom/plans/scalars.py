@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.functions import dates as D
+from lakeloom.functions import elements as E
 from lakeloom.functions import nested as N
 from lakeloom.functions import strings as S
 from lakeloom.plans.registry import Registry
@@ -67,12 +68,12 @@ def string_tests(spark, d):
 @_r.add("""
 SELECT c_custkey, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS titled, c_mktsegment = upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS is_titled, CAST(c_custkey AS VARCHAR) AS got,
        CAST(2 AS INTEGER) AS n_keys, strptime('2024-03-' || lpad(CAST(c_custkey % 31 + 1 AS VARCHAR), 2, '0'), '%Y-%m-%d') AS day
-FROM customer WHERE regexp_matches(c_mktsegment, '^[A-Za-z]+$')""")
+FROM customer""")
 def string_parse(spark, d):
     """Title case, text to map, text to time."""
     k = F.col("c_custkey")
     text = F.concat(F.lit("k="), k.cast("string"), F.lit(",z=1"))
-    t = table(spark, d, "customer").where(F.col("c_mktsegment").rlike("^[A-Za-z]+$"))
+    t = table(spark, d, "customer")
     return t.select(
         "c_custkey", S.title("c_mktsegment").alias("titled"), S.is_title("c_mktsegment").alias("is_titled"), N.key(S.to_dict(text), "k").alias("got"), N.size(S.to_dict(text)).alias("n_keys"),
         S.strptime(F.concat(F.lit("2024-03-"), F.lpad((k % 31 + 1).cast("string"), 2, "0")), "%Y-%m-%d").cast("timestamp_ntz").alias("day"),
@@ -140,3 +141,26 @@ def explode_outer(spark, d):
     """A row per element, and one for a NULL array."""
     t = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, S.split(F.col("o_orderpriority"), "-")).alias("a"))
     return N.explode(t, "a", ["piece"], keep_nulls=True)
+
+
+@_r.add("""
+SELECT o_orderkey, CASE WHEN len(string_split(p, '-')) <= 2 THEN string_split(p, '-') ELSE [array_to_string(string_split(p, '-')[:-2], '-'), string_split(p, '-')[-1]] END AS cut, string_split(p, '-') AS whole
+FROM (SELECT o_orderkey, o_orderpriority || '-' || o_orderstatus AS p FROM orders)""")
+def string_split_right(spark, d):
+    """Pieces cut from the right."""
+    p = F.concat("o_orderpriority", F.lit("-"), "o_orderstatus")
+    return table(spark, d, "orders").select("o_orderkey", S.rsplit(p, "-", 1).alias("cut"), S.rsplit(p, "-").alias("whole"))
+
+
+@_r.add("SELECT event_id, CAST(floor((microsecond(ts) % 1000000) / 1000) AS BIGINT) AS ms FROM (SELECT event_id, ts + to_microseconds(event_id * 1777) AS ts FROM events)")
+def date_milliseconds(spark, d):
+    """Milliseconds within the second."""
+    t = D.shift(F.col("ts"), "microsecond", F.col("event_id") * 1777)
+    return table(spark, d, "events").select("event_id", D.millisecond(t).alias("ms"))
+
+
+@_r.add("SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(1 AS BIGINT) AS hashes FROM orders GROUP BY 1, 2")
+def hash_columns(spark, d):
+    """Rows and distinct hashes of each pair of values: equal values hash alike."""
+    h = E.digest(F.col("o_orderstatus"), F.col("o_orderpriority"))
+    return table(spark, d, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.count_distinct(h).alias("hashes"))

@@ -11,9 +11,11 @@ from lakeloom.functions import elements as E
 from lakeloom.functions import strings as S
 from lakeloom.functions import windows as W
 from lakeloom.operators import learning as L
+from lakeloom.operators import metrics as M
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import relational as R
 from lakeloom.operators import reshape as P
+from lakeloom.operators import sketches as K
 from lakeloom.plans import joining
 from lakeloom.plans import learning as graphs
 from lakeloom.sources import tables as T
@@ -195,13 +197,13 @@ def test_graphs_of_all_lines(spark, tmp_path):
     edges = {(s, t) for _, s, t in lines}
     nodes = {x for e in edges for x in e}
     degrees = sorted((v, sum(s == v for s, _ in edges), sum(t == v for _, t in edges)) for v in nodes)
-    assert values(graphs.graph_degrees_whole(spark, str(tmp_path))) == sorted(degrees, key=repr)
+    assert values(graphs.graph_degrees(spark, str(tmp_path))) == sorted(degrees, key=repr)
     near = collections.defaultdict(set)
     for s, t in edges:
         if s != t:
             near[s].add(t), near[t].add(s)
     through = {v: sum(b in near[a] for a in near[v] for b in near[v]) // 2 for v in nodes}
-    assert values(graphs.graph_triangles_whole(spark, str(tmp_path))) == sorted(((v, n) for v, n in through.items() if n), key=repr)
+    assert values(graphs.graph_triangles(spark, str(tmp_path))) == sorted(((v, n) for v, n in through.items() if n), key=repr)
 
     label = {x: x for s, t in edges for x in (s, -t)}
     moved = True
@@ -211,7 +213,7 @@ def test_graphs_of_all_lines(spark, tmp_path):
             low = min(label[s], label[-t])
             moved |= label[s] != low or label[-t] != low
             label[s] = label[-t] = low
-    assert values(graphs.graph_components_whole(spark, str(tmp_path))) == sorted(label.items(), key=repr)
+    assert values(graphs.graph_components(spark, str(tmp_path))) == sorted(label.items(), key=repr)
 
     rank = dict.fromkeys(nodes, 1 / len(nodes))
     out = collections.Counter(s for s, _ in edges)
@@ -227,5 +229,84 @@ def test_graphs_of_all_lines(spark, tmp_path):
 def test_joins_of_all_customers(spark, sf_dir):
     left = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_nationkey < 20")
     want = {r["c_custkey"] for r in left.collect()}
-    assert {r["id"] for r in joining.join_left_whole(spark, sf_dir).select("id").distinct().collect()} == want
-    assert {r["id"] for r in joining.join_outer_merged_whole(spark, sf_dir).where("id IS NOT NULL").select("id").distinct().collect()} == want
+    assert {r["id"] for r in joining.join_left(spark, sf_dir).select("id").distinct().collect()} == want
+    assert {r["id"] for r in joining.join_outer_merged(spark, sf_dir).where("id IS NOT NULL").select("id").distinct().collect()} == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_salted_join_spreads_equal_rows_of_a_hot_key(spark, how):
+    left = spark.createDataFrame([("hot", "same")] * 300 + [(f"k{i}", "x") for i in range(20)] + [(None, "n")], "k string, a string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("alone", 4), (None, 5)], "k string, b int")
+    got = R.salted_join(left, right, "k", how, per=10)
+    assert values(got) == values(left.join(right, "k", how).select("k", "a", "b"))
+    plan = got.where("k = 'hot'") if how == "inner" else None
+    if plan is not None:
+        salt = left.join(left.groupBy("k").agg(F.ceil(F.count("*") / 10).cast("int").alias("n")), "k").select(F.pmod(F.monotonically_increasing_id(), F.col("n")).alias("s"), "k").where("k = 'hot'")
+        sizes = [r["count"] for r in salt.groupBy("s").count().collect()]
+        assert len(sizes) == 30 and max(sizes) <= 20  # no salt holds much more than its share
+
+
+def test_curves_of_scores_with_an_outlier(spark):
+    rng = random.Random(8)
+    rows = [(rng.randint(0, 1), rng.choice([rng.random(), round(rng.random(), 1), 1e12 if rng.random() < 0.01 else 0.5])) for _ in range(500)] + [(1, None), (None, 0.25)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    got = {r["threshold"]: (r["tp"], r["fp"]) for r in M.curve(df, "y", "s").collect()}
+    known = [(y, s) for y, s in rows if s is not None]
+    assert got == {t: (sum(y == 1 for y, s in known if s >= t), sum(y != 1 for y, s in known if s >= t)) for _, t in known}
+    pairs = [((a > b) + (a == b) / 2) for y, a in known if y == 1 for z, b in known if z != 1]
+    assert M.roc_auc(df, "y", "s").first()[0] == pytest.approx(sum(pairs) / len(pairs))
+    assert M.curve(df.limit(0), "y", "s").count() == 0
+
+
+def test_bloom_filter_keeps_its_error_rate(spark):
+    keys = spark.range(5000).withColumnRenamed("id", "k")
+    assert K.bloom_filter(keys, "k", keys, "k", 5000, 0.01).count() == 5000
+    strange = spark.range(10**6, 10**6 + 50_000).withColumnRenamed("id", "q").withColumn("_probe2", F.lit(1))
+    kept = K.bloom_filter(strange, "q", keys, "k", 5000, 0.01)
+    assert kept.columns == ["q", "_probe2"] and kept.count() <= 0.015 * 50_000
+    assert K.bloom_filter(keys, "k", keys.limit(0), "k").count() == 0
+
+
+def test_slices_tail_and_random(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("k")).repartition(4)
+    assert sorted(r[0] for r in R.slice_rows(df, ["k"], 3, 40, 5).collect()) == list(range(3, 40, 5))
+    assert sorted(r[0] for r in R.slice_rows(df, ["k"], 48).collect()) == [48, 49]
+    assert [r[0] for r in R.tail(df, 2, ["k"]).collect()] == [49, 48]
+    assert spark.range(20).select(R.random_number(3)).collect() == spark.range(20).select(R.random_number(3)).collect()
+    wide = R.describe(df, "k", approximate=True).where("type = 'quantile_50'").first()["k"]
+    assert 23 <= wide <= 26
+
+
+def test_folds_features_and_bins(spark):
+    df = spark.range(200).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") * 7919 % 13).cast("double").alias("noise")).withColumn("y", F.col("x") * 2)
+    pairs = M.train_test(df, 4, ["id"])
+    assert all(a.join(b, "id").count() == 0 and a.count() + b.count() == 200 for a, b in pairs)
+    got = M.cross_val_score(df, lambda a, b: L.linear_predictions(a, b, ["x"], "y"), lambda p: M.regression(p, "y", "prediction").select(F.col("rmse").alias("score")), 4, ["id"])
+    assert sorted(r["fold"] for r in got.collect()) == [0, 1, 2, 3] and all(r["score"] < 1e-6 for r in got.collect())
+    for method in ("forest", "boosted", "linear"):
+        assert "noise" not in L.select_features(df, ["x", "noise"], "y", 1, method=method, trees=4).columns
+    edges = spark.createDataFrame([([0.0, 2.0, 4.0, 9.0],)], "edges array<double>")
+    assert {r["x"]: r["bin"] for r in L.binned(df.select("x"), "x", edges).collect()} == {float(x): 0 if x <= 2 else 1 if x <= 4 else 2 for x in range(10)}
+    assert L.binned(spark.createDataFrame([(None,)], "x double"), "x", edges).first()["bin"] is None
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from lakeloom import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Away:
+        conf = {}
+        sparkContext = Context()
+
+    Away.conf = type("C", (), {"get": lambda self, k, default=None: default})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Away())
+    assert session.shared_dir(spark)
