@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import hashlib
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.session import shared_dir
+
 #: The six ASCII separators of a word.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -17,18 +19,6 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where unset, a new local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return shared.rstrip("/")
-    held = spark.sparkContext.getCheckpointDir()
-    if not held:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lakeloom-"))
-        held = spark.sparkContext.getCheckpointDir()
-    return held.rstrip("/")
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -39,7 +29,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the process ends."""
-    path = f"{work_dir(spark)}/lakeloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lakeloom/{name}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
     return path
 
@@ -58,19 +48,57 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a bucket of a work table (as stored, estimated), and Spark's limit of their number.
+BUCKET_BYTES, BUCKETS = 128 << 20, 100_000
+#: What Spark gives as the size of a table that it doesn't know is over this.
+UNKNOWN_BYTES = 1 << 60
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """df as a work table bucketed by key: one shuffle now, and none of it in later joins on key.
+
+    There are at least as many buckets as shuffle partitions, so that the other side of
+    such a join is dealt to them and not they anew.
+    """
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < UNKNOWN_BYTES)  # of the tables behind df
+    n = min(BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES))
+    path, table = new_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+    with free_shuffles(spark):
+        df.repartition(n, key).write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(table)
+    atexit.register(_forget, spark, table)
+    return spark.table(table)
+
+
+def _forget(spark: SparkSession, table: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except Exception:  # noqa: BLE001  the session may have ended already
+        pass
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def fold(key: str, modulus: int) -> Column:
-    """crc32 of the key as text, modulo modulus."""
+    """crc32 of the key as text, modulo modulus; null without a key."""
     return F.crc32(F.col(key).cast("string")) % modulus
 
 
-#: Multipliers of the two word hashes; odd, so they have inverses modulo 2^64.
+def held_out(key: str, modulus: int, remainder: int) -> Column:
+    """Whether a row's fold is that one; a row without a key, from which nothing learns, is held out too."""
+    return F.coalesce(fold(key, modulus) == remainder, F.lit(True))
+
+
+#: Odd multipliers: of runs of word hashes, and seeds of the two word hashes.
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_MASK = (1 << 64) - 1
+
+#: Bytes of a word up to which it is hashed eight bytes at a time; longer ones go through BLAKE2b.
+_SHORT = 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -140,14 +168,33 @@ def blank_table() -> np.ndarray:
     return t
 
 
+#: What keeps the first k bytes of eight.
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
 def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, alike in every batch."""
-    base = _B2 if second else _B1
-    n = len(text)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(base, n), out=sums[1:])
-    inverse = powers(pow(base, -1, 1 << 64), n + 1)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word's bytes, alike in every batch; second gives another, independent one.
+
+    Every eight bytes pass a mixing step that has an inverse, so words of up to eight
+    bytes and the same length never collide; words over _SHORT bytes take a
+    cryptographic hash. Together the two are a hash of 128 bits.
+    """
+    seed = _B2 if second else _B1
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * np.uint64(_B1) + np.uint64(seed))
+    held = np.concatenate([text, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(text) + 1, "<u8", held, strides=(1,))  # the eight bytes from each place
+    at = np.flatnonzero(size <= _SHORT)
+    for k in range(0, _SHORT, 8):
+        if len(at) == len(out):
+            out = mix(out ^ (eight[starts + k] & _KEEP[np.minimum(size - k, 8)]))
+        elif len(at):
+            out[at] = mix(out[at] ^ (eight[starts[at] + k] & _KEEP[np.minimum(size[at] - k, 8)]))
+        at = at[size[at] > k + 8]
+    for i in np.flatnonzero(size > _SHORT).tolist():
+        digest = hashlib.blake2b(text[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+        out[i] = int.from_bytes(digest[8 * second : 8 * second + 8], "little")
+    return out
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -237,12 +284,15 @@ def least_hashed(ids: DataFrame, n: int, rows: int, key: str = "id") -> DataFram
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, y): up to per_class labelled rows of each class, those of least hash.
 
-    keep: condition on the id column of labels (the learning folds). Bounded by
-    2 * per_class rows, so it may be broadcast. Rows without a label or an id are
-    left out; an id labelled twice counts under its least label.
+    keep: condition on the id column of labels (the learning folds). Rows without a
+    label or an id are left out; an id labelled twice counts under its least label, and
+    one that several documents have gives one text (that of least hash). So there are
+    at most 2 * per_class rows.
     """
     known = labels.where(keep & F.col(id_col).isNotNull()).where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label).cast("int").alias("y"))
     size = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     picked = [least_hashed(known.where(F.col("y") == y), per_class, size.get(y, 0)) for y in (0, 1)]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked[0].union(picked[1])), "id")
+    met = texts.join(F.broadcast(picked[0].union(picked[1])), "id")  # 2 * per_class rows
+    one = met.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("r"))
+    return one.select("id", "r.text", "y")

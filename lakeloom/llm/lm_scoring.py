@@ -3,9 +3,10 @@
 1. All training tokens are counted by word hash (64 bits) with their shape; the
    counts stay a table.
 2. The most frequent words (a documented number) go to the tasks with their counts;
-   the model starts from a bounded sample of training documents and is then trained
-   on all of them: tasks run over their parts of the training texts from the same
-   weights, and the weights are averaged after each round.
+   one task gives the model its first weights on a share of the training texts taken by
+   hash, and it is then trained on all of them: tasks run over their parts of the texts
+   from the same weights, and the weights are averaged after each round. No text comes
+   to the driver.
 3. One pass scores every document; words outside the frequent ones leave it as
    (document, word, times) rows.
 4. Those meet the counts table on the word, and their sums return to the documents.
@@ -17,23 +18,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import recurrent_lm as lm
-from lakeloom.llm.common import blank_table, buffers, fold, in_arrow, least_hashed, pieces, stored, word_bounds, word_hashes
+from lakeloom.llm.common import blank_table, buffers, fold, held_out, in_arrow, pieces, stored, word_bounds, word_hashes
 
-#: Frequent words sent to tasks (16 bytes each); documents and tokens of the sample that gives the first weights.
-FREQUENT, SAMPLE_DOCS, SAMPLE_TOKENS = 200_000, 2000, 300_000
+#: Frequent words sent to tasks (24 bytes each).
+FREQUENT = 200_000
+
+#: First weights: tokens of the share of texts (about), passes over it, lanes, rate.
+FIRST_TOKENS, FIRST_PASSES, FIRST_LANES, FIRST_RATE = 300_000, 3, 96, 4e-3
 
 #: Training on all texts: tokens of a part, rounds after which weights are averaged, tokens a task holds at once, lanes, rate.
-PART_TOKENS, ROUNDS, HELD_TOKENS, LANES, RATE = 4_000_000, 3, 500_000, 256, 2e-3
+PART_TOKENS, ROUNDS, HELD_TOKENS, LANES, RATE = 4_000_000, 3, 500_000, 512, 4e-3
+
+#: Words of a window of back-propagation.
+WINDOW = 24
 
-#: Rows in which a task hands over its weights.
-SLOTS = 64
+#: Rows in which a task hands over its weights; parts whose weights are averaged in one group.
+SLOTS, TOGETHER = 64, 256
 
 #: Tokens that are scored together.
-GROUP = 1_000_000
+GROUP = 500_000
 
 #: The hash of the end of a text.
 END = np.uint64(1)
@@ -81,15 +89,25 @@ class _Tables:
     """What tasks need: frequent words with counts and numbers, totals, and the model."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, numbers: np.ndarray, shapes: np.ndarray, total: int, distinct: int, ends: int, model: lm.Model | None = None):
-        self.words, self.counts, self.numbers = words, counts, numbers
+        self.words, self.counts, self.numbers = words, counts, numbers  # words ascend
+        self.head = np.searchsorted(words, np.arange(1 << 18, dtype=np.uint64) << np.uint64(46))  # first of each 18 leading bits
+        self.head = np.append(self.head, len(words))
         self.shapes, self.total, self.distinct, self.ends, self.model = shapes, total, distinct, ends, model
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among the frequent words, and whether it is one."""
         if not len(self.words):
             return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return at, self.words[at] == h
+        lead = (h >> np.uint64(46)).astype(np.int64)
+        at, stop, last = self.head[lead], self.head[lead + 1], len(self.words) - 1
+        known = self.words[np.minimum(at, last)] == h
+        open_ = np.flatnonzero(~known & (at + 1 < stop))
+        while len(open_):  # as often as the most words share their leading bits
+            at[open_] += 1
+            hit = self.words[at[open_]] == h[open_]
+            known[open_[hit]] = True
+            open_ = open_[~hit & (at[open_] + 1 < stop[open_])]
+        return np.minimum(at, last), known
 
     def number(self, at: np.ndarray, known: np.ndarray, shape: np.ndarray) -> np.ndarray:
         """The model's token: a vocabulary number or the shape's."""
@@ -116,58 +134,86 @@ def _numbered(tables):
     return run
 
 
-def _trained(weights, first: float, last: float):
-    """(h, tokens) of a part to its weights, as (slot, n, v): n tokens, v a slice of the weights."""
+def _trained(weights, first: float, last: float, lanes: int, passes: int = 1):
+    """(h, tokens) of a part to its weights, as (slot, part, n, v): n tokens, v a slice of the weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, n, size, texts = lm.Trainer(weights.value), 0, 0, []
+
+        def learn() -> None:
+            for i in range(passes):
+                trainer.run(texts, lanes, WINDOW, *(first + (last - first) * (i + k) / passes for k in (0, 1)))
+
         for batch in batches:
             off = batch.column(1).offsets.to_numpy().astype(np.int64)
             flow = batch.column(1).flatten().to_numpy().astype(np.int64)
             texts += np.split(flow, (off - off[0])[1:-1]) if batch.num_rows else []
             size += len(flow)
             if size >= HELD_TOKENS:
-                trainer.run(texts, LANES, 24, first, last)
+                learn()
                 n, size, texts = n + size, 0, []
         if size:
-            trainer.run(texts, LANES, 24, first, last)
+            learn()
         if n + size:
             cut = np.array_split(lm.packed(lm.Model(trainer.p)), SLOTS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(SLOTS, dtype=np.int32)), pa.array(np.full(SLOTS, n + size)), pa.array([c.tobytes() for c in cut], pa.binary())], ["slot", "n", "v"]
-            )
+                [
+                    pa.array(np.arange(SLOTS, dtype=np.int32)), pa.array(np.full(SLOTS, TaskContext.get().partitionId(), np.int32)),
+                    pa.array(np.full(SLOTS, n + size)), pa.array([c.tobytes() for c in cut], pa.binary()),
+                ],
+                ["slot", "part", "n", "v"],
+            )
 
     return run
 
 
 def _mean(table: pa.Table) -> pa.Table:
-    """Rows of a slot to their mean, weighted by tokens; in a fixed order, so that sums come out alike."""
+    """Rows of a slot and group to their mean, weighted by tokens; in a fixed order, so that sums come out alike."""
     rows = sorted(zip(table["n"].to_pylist(), table["v"].to_pylist()))
     total = sum(n for n, _ in rows)
     mean = sum(np.frombuffer(v, np.float32).astype(np.float64) * (n / total) for n, v in rows)
-    return pa.table({"slot": table["slot"].slice(0, 1), "v": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+    return pa.table({"slot": table["slot"].slice(0, 1), "part": table["part"].slice(0, 1), "n": pa.array([total], pa.int64()), "v": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def _averaged(done: DataFrame, parts: int) -> DataFrame:
+    """The mean of all parts per slot, by groups of TOGETHER parts, then of groups, and so on."""
+    while True:
+        parts = -(-parts // TOGETHER)
+        group = F.floor(F.col("part") / TOGETHER).cast("int") if parts > 1 else F.lit(0)
+        grouped = done.withColumn("part", group).groupBy("slot", "part")
+        done = grouped.applyInArrow(_mean, "slot int, part int, n long, v binary")
+        if parts <= 1:
+            return done
 
 
 def train_on_all(docs: DataFrame, held: _Tables, id_col: str = "doc_id", text_col: str = "text") -> lm.Model:
-    """held.model after one pass over every text of docs.
+    """held.model after first weights and one pass over every text of docs.
 
-    Texts are dealt to parts and rounds by a hash, so a part is a cross-section of the
-    corpus whatever the files are sorted by. The number of parts grows with the tokens.
+    The first weights are learned in one task, on the share of texts whose hash is
+    least, of about FIRST_TOKENS tokens whatever the size of the corpus. Then all texts
+    are dealt to parts and rounds by a hash, so a part is a cross-section of the corpus
+    whatever the files are sorted by. The number of parts grows with the tokens.
     """
     spark = docs.sparkSession
-    model, numbers = held.model, spark.sparkContext.broadcast(held)
+    numbers = spark.sparkContext.broadcast(held)
     parts = -(-held.total // PART_TOKENS)
     rounds = ROUNDS if held.total > HELD_TOKENS else 1
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("text"))
-    for i in range(rounds if held.total else 0):
-        some = rows.where(F.pmod(F.shiftrightunsigned("h", 20), F.lit(rounds)) == i)
+
+    def learned(model: lm.Model, some: DataFrame, parts: int, *how) -> lm.Model:
         dealt = in_arrow(some, _numbered(numbers), "h long, tokens array<int>").repartition(parts, "h").sortWithinPartitions("h")
-        first, last = (RATE * (1 - 0.9 * (i + k) / rounds) for k in (0, 1))
-        done = in_arrow(dealt, _trained(spark.sparkContext.broadcast(model), first, last), "slot int, n long, v binary")
-        got = {r["slot"]: r["v"] for r in stored(done.groupBy("slot").applyInArrow(_mean, "slot int, v binary"), "weights").collect()}  # the model's size
-        if got:
-            model = lm.unpacked(np.concatenate([np.frombuffer(got[k], np.float32) for k in range(SLOTS)]), model)
+        done = in_arrow(dealt, _trained(spark.sparkContext.broadcast(model), *how), "slot int, part int, n long, v binary")
+        got = {r["slot"]: r["v"] for r in stored(_averaged(done, parts), "weights").collect()}  # the model's size
+        return lm.unpacked(np.concatenate([np.frombuffer(got[k], np.float32) for k in range(SLOTS)]), model) if got else model
+
+    if not held.total:
+        return held.model
+    share = F.shiftrightunsigned(F.xxhash64("h"), 12) < int(min(1.0, FIRST_TOKENS / held.total) * (1 << 52))
+    model = learned(held.model, rows.where(share), 1, FIRST_RATE, FIRST_RATE / 10, FIRST_LANES, FIRST_PASSES)
+    for i in range(rounds):
+        some = rows.where(F.pmod(F.shiftrightunsigned("h", 20), F.lit(rounds)) == i)
+        model = learned(model, some, parts, *(RATE * (1 - 0.9 * (i + k) / rounds) for k in (0, 1)), LANES)
     return model
 
 
@@ -254,8 +300,7 @@ def _most_frequent(table: DataFrame, n: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> _Tables:
-    """Frequent words and totals of a counts table, and a model trained on all docs, from weights of a sample."""
-    spark = docs.sparkSession
+    """Frequent words and totals of a counts table, and a model trained on all docs."""
     top = _most_frequent(table, FREQUENT).toPandas()  # bounded by FREQUENT
     total = table.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.when(F.col("h") == int(END), F.col("n"))), F.lit(0)).alias("ends")
@@ -269,16 +314,7 @@ def learn(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: s
     order = np.argsort(words)
     number = np.where(np.arange(len(top)) < lm.VOCABULARY, np.arange(len(top)), -1)
     held = _Tables(words[order], top["n"].to_numpy(np.int64)[order], number[order], shapes.sum(1) + 1, int(total["n"]), int(total["v"]), int(total["ends"]))
-    ids = docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL")
-    first = least_hashed(ids, SAMPLE_DOCS, ids.count())
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(first.distinct()), "id")
-    rows = in_arrow(texts.orderBy(F.xxhash64("id"), "text").select(F.lit(0).cast("long").alias("h"), "text"), _numbered(spark.sparkContext.broadcast(held)), "h long, tokens array<int>").collect()
-    sample, size = [], 0
-    for r in rows:  # bounded by SAMPLE_DOCS texts
-        if size < SAMPLE_TOKENS:
-            sample.append(np.array(r["tokens"], np.int64))
-            size += len(r["tokens"])
-    held.model = lm.train(lm.new_model(vocabulary["n"].to_numpy(float), shapes[:, 0]), sample)
+    held.model = lm.new_model(vocabulary["n"].to_numpy(float), shapes[:, 0])
     held.model = train_on_all(docs, held, id_col, text_col)
     return held
 
@@ -318,6 +354,5 @@ def op3_lm(spark, sf_dir: str) -> DataFrame:
     """Log10 probability of every document, learned outside fold 2 of 7."""
     from lakeloom.session import table
 
-    held_out = fold("doc_id", 7) == 2
-    out, tables = fit_and_score(table(spark, sf_dir, "documents"), ~held_out)
-    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(tables.total).cast("long").alias("train_tokens"), "base_score", "score")
+    out, tables = fit_and_score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return out.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", F.lit(tables.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -2,45 +2,66 @@
 
 Words of the learned vocabulary have numbers; other words stand for their shape
 (ending, length, alphabet). The output is factored: a softmax over classes (of
-vocabulary words, and one class per shape), then one over the words of the class; a
-word outside the vocabulary takes its add-one share of its shape's training tokens.
-Training is truncated back-propagation over windows of text streams; scoring carries
-the state from window to window, so a text's probability covers all of it.
+vocabulary words by frequency, and one class of all shapes), then one over the members
+of the class; a word outside the vocabulary takes its add-one share of its shape's
+training tokens. Training is truncated back-propagation over windows of text streams;
+scoring carries the state from window to window, so a text's probability covers all
+of it.
+
+Functions take their sizes from the parameters, so a small model works as well.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 
+#: Classes of vocabulary words, members of each class, shapes (one class more), size of the state.
 CLASSES, PER_CLASS, SHAPES, HIDDEN = 64, 64, 64, 24
 VOCABULARY = CLASSES * PER_CLASS
 START = VOCABULARY + SHAPES  # what stands before the first word
 
+#: Rows of which scores are taken at once (they fit a core's cache), and rows gathered before that.
+BLOCK, GATHERED = 2048, 32_768
+
 _NEVER = -1e9
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """In place."""
+def _exponentials(x: np.ndarray) -> np.ndarray:
+    """In place, over the row's greatest; the sums of rows."""
     x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _log_share(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Log of the softmax at pick, row by row, in blocks."""
+    out = np.empty(len(h), h.dtype)
+    for i in range(0, len(h), BLOCK):
+        x = h[i : i + BLOCK] @ weight
+        x += bias
+        rows, want = np.arange(len(x)), pick[i : i + BLOCK]
+        x -= x.max(1, keepdims=True)
+        got = x[rows, want]
+        np.exp(x, out=x)
+        out[i : i + BLOCK] = got - np.log(x @ np.ones(x.shape[1], x.dtype))
+    return out
 
 
 @dataclass
 class Model:
-    """The parameters; p has e (inputs), u, b (gates), c, cb (classes), w, wb (words)."""
+    """The parameters; p has e (inputs), u, b (gates), c, cb (classes), w, wb (members)."""
 
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
@@ -50,55 +71,50 @@ def new_model(word_counts: np.ndarray, shape_counts: np.ndarray, seed: int = 11)
     rng = np.random.default_rng(seed)
     words = np.zeros(VOCABULARY)
     words[: len(word_counts)] = word_counts
-    by_class = words.reshape(CLASSES, PER_CLASS)
-    mass = np.concatenate([by_class.sum(1), shape_counts + 1.0])
+    by_class = np.vstack([words.reshape(CLASSES, PER_CLASS), shape_counts.reshape(1, SHAPES) + 1.0])
+    mass = by_class.sum(1)
     log = lambda x: np.where(x > 0, np.log(np.maximum(x, 1e-9)), _NEVER)
     small = lambda *shape: (rng.standard_normal(shape) * 0.08).astype(np.float32)
     p = {
         "e": small(START + 1, 3 * HIDDEN),
         "u": small(HIDDEN, 3 * HIDDEN),
         "b": np.zeros(3 * HIDDEN, np.float32),
-        "c": small(HIDDEN, CLASSES + SHAPES),
+        "c": small(HIDDEN, CLASSES + 1),
         "cb": log(mass / mass.sum()),
-        "w": small(CLASSES, HIDDEN, PER_CLASS),
+        "w": small(CLASSES + 1, HIDDEN, PER_CLASS),
         "wb": log(by_class / np.maximum(by_class.sum(1, keepdims=True), 1e-9)),
     }
     return Model({k: v.astype(np.float32) for k, v in p.items()})
 
 
-def _step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple:
-    n = HIDDEN
-    g = h @ p["u"]
+def _step(u: np.ndarray, x: np.ndarray, h: np.ndarray) -> tuple:
+    """The next state from x (inputs with bias) and state h; and what the way back needs."""
+    n = len(u)
+    g = h @ u
     zr = _sigmoid(x[:, : 2 * n] + g[:, : 2 * n])
     z, r = zr[:, :n], zr[:, n:]
-    c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
+    c = r * g[:, 2 * n :]
+    c += x[:, 2 * n :]
+    np.tanh(c, out=c)
     return c + z * (h - c), z, r, c, g[:, 2 * n :]
 
 
-def _by_class(target: np.ndarray):
-    """Places of vocabulary words, class by class."""
-    kind = np.where(target < VOCABULARY, target // PER_CLASS, CLASSES)
+def _by_class(target: np.ndarray, per: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of words, class by class."""
+    kind = (target // per).astype(np.int16)
     order = np.argsort(kind, kind="stable")
-    cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if cut[k] < cut[k + 1]:
-            yield k, order[cut[k] : cut[k + 1]]
-
-
-def _class_of(target: np.ndarray) -> np.ndarray:
-    return np.where(target < VOCABULARY, target // PER_CLASS, target - VOCABULARY + CLASSES)
-
-
-def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray, most: int = 8192) -> np.ndarray:
-    """Natural log of class times word probability, for states h and the words that follow.
-
-    Taken in blocks of rows, as a row of class scores is far wider than a state.
-    """
-    if len(h) > most:
-        return np.concatenate([_log_probabilities(p, h[i : i + most], target[i : i + most]) for i in range(0, len(h), most)])
-    out = _log_softmax(h @ p["c"] + p["cb"])[np.arange(len(h)), _class_of(target)]
-    for k, at in _by_class(target):
-        out[at] += _log_softmax(h[at] @ p["w"][k] + p["wb"][k])[np.arange(len(at)), target[at] % PER_CLASS]
+    ranked = kind[order]
+    cut = np.flatnonzero(ranked[1:] != ranked[:-1]) + 1
+    for at in np.split(order, cut) if len(order) else []:
+        yield int(kind[at[0]]), at
+
+
+def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of class times member probability, for states h and the words that follow."""
+    per = p["wb"].shape[1]
+    out = _log_share(h, p["c"], p["cb"], target // per)
+    for k, at in _by_class(target, per):
+        out[at] += _log_share(h[at], p["w"][k], p["wb"][k], target[at] % per)
     return out
 
 
@@ -112,83 +128,102 @@ class Trainer:
 
     def run(self, texts: list[np.ndarray], lanes: int, window: int, first: float, last: float) -> None:
         """One pass over the texts, laid out as lanes of one stream each; the rate goes from first to last."""
+        start = len(self.p["e"]) - 1
         flow = np.concatenate(texts)
-        prev = np.concatenate([np.append(START, t[:-1]) for t in texts if len(t)])
+        prev = np.concatenate([np.append(start, t[:-1]) for t in texts if len(t)])
         width = min(lanes, max(1, len(flow) // window))
         steps = -(-len(flow) // width)
         # the last lanes may be a word short: padded words have no weight
         real = np.arange(width * steps) < len(flow)
-        flow, prev = (np.append(x, np.full(width * steps - len(x), START)) for x in (flow, prev))
-        flow, prev, real = (x.reshape(width, steps).T for x in (np.where(real, flow, 0), prev, real))
-        h = np.zeros((width, HIDDEN), np.float32)
+        flow, prev = (np.append(x, np.full(width * steps - len(x), start)) for x in (flow, prev))
+        flow, prev, real = (np.ascontiguousarray(x.reshape(width, steps).T) for x in (np.where(real, flow, 0), prev, real))
+        h = np.zeros((width, len(self.p["u"])), self.p["u"].dtype)
         for t0 in range(0, steps, window):
-            h = self._update(flow[t0 : t0 + window], prev[t0 : t0 + window], real[t0 : t0 + window], h, first + (last - first) * t0 / steps)
-
-    def _update(self, tgt: np.ndarray, inp: np.ndarray, real: np.ndarray, h: np.ndarray, speed: float) -> np.ndarray:
-        p, n, width = self.p, HIDDEN, tgt.shape[1]
-        x = p["e"][inp] + p["b"]
-        starts = inp == START
-        held, hs = [], np.empty((len(tgt), width, n), np.float32)
-        for t in range(len(tgt)):
-            if starts[t].any():
-                h = np.where(starts[t][:, None], np.float32(0), h)
-            before = h
-            h, z, r, c, gc = _step(p, x[t], h)
-            held.append((before, z, r, c, gc))
-            hs[t] = h
-        flat, want = hs.reshape(-1, n), tgt.reshape(-1)
-        weight = (real.reshape(-1) / max(1, int(real.sum()))).astype(np.float32)[:, None]
-        d = _softmax(flat @ p["c"] + p["cb"])
-        d[np.arange(len(want)), _class_of(want)] -= 1
-        d *= weight
-        grad = {"c": flat.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-        dh = d @ p["c"].T
-        for k, at in _by_class(want):
-            rows = flat[at]
-            q = _softmax(rows @ p["w"][k] + p["wb"][k])
-            q[np.arange(len(at)), want[at] % PER_CLASS] -= 1
-            q *= weight[at]
-            grad["w"][k], grad["wb"][k] = rows.T @ q, q.sum(0)
-            dh[at] += q @ p["w"][k].T
-        dh = dh.reshape(len(tgt), width, n)
-        carry = np.zeros((width, n), np.float32)
-        dx, dg = np.empty((len(tgt), width, 3 * n), np.float32), np.empty((len(tgt), width, 3 * n), np.float32)
-        ut = np.ascontiguousarray(p["u"].T)
-        for t in range(len(tgt) - 1, -1, -1):
-            before, z, r, c, gc = held[t]
-            g = dh[t] + carry
-            dc = g * (1 - z) * (1 - c * c)
-            dx[t, :, :n] = dg[t, :, :n] = g * (before - c) * z * (1 - z)
-            dx[t, :, n : 2 * n] = dg[t, :, n : 2 * n] = dc * gc * r * (1 - r)
-            dx[t, :, 2 * n :], dg[t, :, 2 * n :] = dc, dc * r
-            carry = g * z + dg[t] @ ut
-            if starts[t].any():
-                carry[starts[t]] = 0
-        grad["u"] = np.stack([one[0] for one in held]).reshape(-1, n).T @ dg.reshape(-1, 3 * n)
-        dx = dx.reshape(-1, 3 * n)
-        grad["b"] = dx.sum(0)
-        cells = inp.reshape(-1, 1) * (3 * n) + np.arange(3 * n)
-        grad["e"] = np.bincount(cells.reshape(-1), dx.reshape(-1), p["e"].size).astype(np.float32).reshape(-1, 3 * n)
+            cut = slice(t0, t0 + window)
+            grad, h = gradients(self.p, flow[cut], prev[cut], real[cut], h)
+            self._update(grad, first + (last - first) * t0 / steps)
+
+    def _update(self, grad: dict[str, np.ndarray], speed: float) -> None:
         clip = np.float32(min(1.0, 1.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) + 1e-9)))
         self.updates += 1
         one, two = np.float32(speed / (1 - 0.9**self.updates)), np.float32(1 / (1 - 0.99**self.updates))
         for k, g in grad.items():
             g *= clip
             m1, m2 = self.m1[k], self.m2[k]
-            m1 += np.float32(0.1) * (g - m1)
-            m2 += np.float32(0.01) * (g * g - m2)
-            p[k] -= one * m1 / (np.sqrt(two * m2) + np.float32(1e-6))
-        return h
-
-
-def train(model: Model, texts: list[np.ndarray], lanes: int = 96, window: int = 24, epochs: int = 3, rate: float = 4e-3, seed: int = 5) -> Model:
-    """Some passes over texts that fit in memory, in a new order each."""
-    if not texts:
-        return model
-    trainer, rng = Trainer(model), np.random.default_rng(seed)
-    for epoch in range(epochs):
-        trainer.run([texts[i] for i in rng.permutation(len(texts))], lanes, window, *(rate * (1 - 0.9 * (epoch + i) / epochs) for i in (0, 1)))
-    return Model(trainer.p)
+            m1 *= np.float32(0.9)
+            m1 += np.float32(0.1) * g
+            m2 *= np.float32(0.99)
+            g *= g
+            g *= np.float32(0.01)
+            m2 += g
+            np.multiply(m2, two, out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-6)
+            np.divide(m1, g, out=g)
+            g *= one
+            self.p[k] -= g
+
+
+def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Gradients of the mean negative log probability of a window (steps by lanes), and the state after it.
+
+    h is taken as given: errors go back to the window's start and no further. Words
+    that are not real have no weight; a lane starts anew where its input is START.
+    """
+    n, kind, width, per = len(p["u"]), p["u"].dtype, tgt.shape[1], p["wb"].shape[1]
+    x = (p["e"] + p["b"])[inp]
+    starts = inp == len(p["e"]) - 1
+    fresh = starts.any(1)
+    held, hs = [], np.empty((len(tgt) + 1, width, n), kind)
+    hs[0] = h
+    for t in range(len(tgt)):
+        before = hs[t] * ~starts[t][:, None] if fresh[t] else hs[t]
+        hs[t + 1], z, r, c, gc = _step(p["u"], x[t], before)
+        held.append((before, z, r, c, gc))
+    flat, want = hs[1:].reshape(-1, n), tgt.reshape(-1)
+    weight = (real.reshape(-1) / max(1, int(real.sum()))).astype(kind)
+
+    def error(scores: np.ndarray, pick: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Scores to the gradient of their loss, in place."""
+        scores *= (share / _exponentials(scores))[:, None]
+        scores[np.arange(len(scores)), pick] -= share
+        return scores
+
+    d = flat @ p["c"]
+    d += p["cb"]
+    d = error(d, want // per, weight)
+    grad = {"c": flat.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+    dh = d @ p["c"].T
+    for k, at in _by_class(want, per):
+        rows = flat[at]
+        q = rows @ p["w"][k]
+        q += p["wb"][k]
+        q = error(q, want[at] % per, weight[at])
+        grad["w"][k], grad["wb"][k] = rows.T @ q, q.sum(0)
+        dh[at] += q @ p["w"][k].T
+    dh = dh.reshape(len(tgt), width, n)
+    carry = np.zeros((width, n), kind)
+    dx, dg = np.empty((2, len(tgt), width, 3 * n), kind)
+    ut = np.ascontiguousarray(p["u"].T)
+    for t in range(len(tgt) - 1, -1, -1):
+        before, z, r, c, gc = held[t]
+        g = dh[t] + carry
+        dc = g * (1 - z) * (1 - c * c)
+        dx[t, :, :n] = g * (before - c) * z * (1 - z)
+        dx[t, :, n : 2 * n] = dc * gc * r * (1 - r)
+        dx[t, :, 2 * n :] = dc
+        dg[t, :, : 2 * n] = dx[t, :, : 2 * n]
+        np.multiply(dc, r, out=dg[t, :, 2 * n :])
+        carry = dg[t] @ ut
+        carry += g * z
+        if fresh[t]:
+            carry[starts[t]] = 0
+    grad["u"] = np.concatenate([one[0] for one in held]).T @ dg.reshape(-1, 3 * n)
+    dx = dx.reshape(-1, 3 * n)
+    grad["b"] = dx.sum(0)
+    cells = inp.reshape(-1, 1) * (3 * n) + np.arange(3 * n)
+    grad["e"] = np.bincount(cells.reshape(-1), dx.reshape(-1), p["e"].size).astype(kind).reshape(-1, 3 * n)
+    return grad, hs[-1]
 
 
 def packed(model: Model) -> np.ndarray:
@@ -203,29 +238,38 @@ def unpacked(row: np.ndarray, like: Model) -> Model:
     return Model({k: v.reshape(like.p[k].shape).astype(np.float32) for k, v in zip(keys, cuts)})
 
 
-def log10_likelihood(model: Model, texts: list[np.ndarray], window: int = 16) -> np.ndarray:
-    """Log10 of class and word probabilities of each text; all texts advance together."""
+def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    """Log10 of class and member probabilities of each text; all texts advance together.
+
+    The state goes on from window to window; a window ends when GATHERED states wait
+    for their scores.
+    """
     p = model.p
+    n, start = len(p["u"]), len(p["e"]) - 1
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     lengths = np.array([len(texts[i]) for i in order], np.int64)
     out = np.zeros(len(texts))
     base = np.concatenate([[0], np.cumsum(lengths)])
     flow = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int64)
     inputs = p["e"] + p["b"]
-    h = np.zeros((len(texts), HIDDEN), np.float32)
-    prev = np.full(len(texts), START)
-    for t0 in range(0, int(lengths.max(initial=0)), window):
-        hs, want, lane = [], [], []
-        for t in range(t0, min(t0 + window, int(lengths[0]))):
-            live = int(np.searchsorted(-lengths, -t, "left"))  # texts longer than t
-            h = _step(p, inputs[prev[:live]], h[:live])[0]
-            target = flow[base[:live] + t]
-            hs.append(h)
-            want.append(target)
-            lane.append(np.arange(live))
-            prev = target
-        got = _log_probabilities(p, np.concatenate(hs), np.concatenate(want))
-        out[: len(lane[0])] += np.bincount(np.concatenate(lane), weights=got, minlength=len(lane[0]))
+    h = np.zeros((len(texts), n), p["u"].dtype)
+    prev = np.full(len(texts), start)
+    hs: list[np.ndarray] = []
+    want: list[np.ndarray] = []
+    waiting = 0
+    live_at = np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=0))), "left")  # texts longer than t
+    for t, live in enumerate(live_at.tolist()):
+        h = _step(p["u"], inputs[prev[:live]], h[:live])[0]
+        prev = flow[base[:live] + t]
+        hs.append(h)
+        want.append(prev)
+        waiting += live
+        if waiting >= GATHERED or t + 1 == len(live_at):
+            got = _log_probabilities(p, np.concatenate(hs), np.concatenate(want))
+            lane = np.concatenate([np.arange(len(w)) for w in want])
+            sums = np.bincount(lane, weights=got)
+            out[: len(sums)] += sums
+            hs, want, waiting = [], [], 0
     back = np.zeros(len(texts))
     back[order] = out / np.log(10)
     return back
