@@ -30,6 +30,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_decontaminate": decontaminate.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
     "op7_warc": warc_zip.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
