@@ -4,8 +4,10 @@ Texts are lower-cased, homoglyphs and digit substitutions are folded to letters,
 what is no letter becomes one space. Lexicon entries are word beginnings whose
 documents are toxic far more often than clean, learned from a bounded sample of
 labelled rows; an entry's weight is its log odds. Exception phrases take the entries
-inside them out. The sum of weights over the length in words goes through a logistic
-curve fitted on the same sample.
+inside them out: those that a caller gives, and two-word phrases around an entry that
+stand in clean documents of the sample far more often than the entry does. The sum of
+weights over the length in words goes through a logistic curve fitted on the same
+sample.
 """
 
 from __future__ import annotations
@@ -23,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import fold, in_arrow, labelled_sample, pieces, stored
+from lakeloom.llm.common import fold, held_out, in_arrow, labelled_sample, pieces, stored
 
 #: Labelled rows per class that the lexicon is learned from.
 PER_CLASS = 4000
-#: Candidate entries at most, by cases; beginnings of SHORT to LONG letters.
-ENTRIES, SHORT, LONG = 20_000, 4, 12
-#: Log likelihood ratio that an entry must reach.
-SURPRISE = 16.0
-#: Log odds that an entry must reach (about 33 to 1).
-WEIGHT = 3.5
+#: Beginnings of SHORT to LONG letters; toxic cases that a candidate has at least.
+SHORT, LONG, CASES = 4, 12, 4
+#: Entries expected by chance: the log likelihood ratio asked for is that of one case in candidates / CHANCE.
+CHANCE = 0.05
+#: Log odds that an entry must reach (about 33 to 1); log likelihood ratio that a learned exception must reach.
+WEIGHT, SPARED = 3.5, 8.0
 
 #: Letters of other scripts that look like Latin ones, and digits read as letters.
 HOMOGLYPHS = {
@@ -42,9 +44,6 @@ HOMOGLYPHS = {
     "ı": "i", "ⅼ": "l", "ո": "n", "ս": "u", "օ": "o",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
-#: Harmless phrases that contain entries of many lexicons.
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown award")
-
 
 class _Fold(dict):
     """Code point to its folded form, filled as code points are met."""
@@ -76,7 +75,7 @@ class Lexicon:
     """Entries with weights, exception phrases, and the curve's slope and offset."""
 
     weights: dict[str, float]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     slope: float = 1.0
     offset: float = 0.0
 
@@ -106,7 +105,15 @@ def weigh(words: list[str], found) -> float:
             spared.append((end - n, end))
         else:
             at[end - n + 1] = max(w, at.get(end - n + 1, 0.0))
-    return sum(w for p, w in at.items() if not any(a <= p <= b for a, b in spared))
+    spared.sort()
+    total, reach, i = 0.0, -1, 0
+    for p in sorted(at):  # both are walked once
+        while i < len(spared) and spared[i][0] <= p:
+            reach = max(reach, spared[i][1])
+            i += 1
+        if p > reach:
+            total += at[p]
+    return total
 
 
 def feature(total: float, n: int) -> float:
@@ -114,8 +121,8 @@ def feature(total: float, n: int) -> float:
     return math.log1p(100.0 * total / (n + 50.0))
 
 
-def _weighed(lexicon):
-    """(row, text) to the sum of weights and the number of words."""
+def _weighed(lexicon, back: bool):
+    """(row, text) to the sum of weights and the number of words, the text too if back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _automaton(lexicon.value)
@@ -125,33 +132,70 @@ def _weighed(lexicon):
                 words = folded(text or "")
                 n.append(len(words))
                 total.append(weigh(words, found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.float64()), pa.array(n, pa.int64())], ["row", "total", "n"])
+            out = [batch.column(0), pa.array(total, pa.float64()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*out, batch.column(1)] if back else out, ["row", "total", "n", "text"][: 3 + back])
 
     return run
 
 
-def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(y, text) to cases of each beginning of a word, summed per piece.
+def beginnings(word: str) -> list[str]:
+    """What may be an entry at the start of a word."""
+    return [word[:k] for k in range(SHORT, min(LONG, len(word)) + 1)]
 
-    Rows with prev -1 count documents per class; the others are the distinct words
-    before it in toxic documents, of which copies of a document add none.
-    """
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(y, text) to the documents of each class that have a beginning, summed per piece."""
     for batch in pieces(batches):
         docs = (Counter(), Counter())
-        before: set[tuple[str, int]] = set()
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = folded(text or "")
-            docs[y].update({w[:k] for w in set(words) for k in range(SHORT, min(LONG, len(w)) + 1)})
-            if y:
-                before |= {(w[:k], zlib.crc32(v.encode())) for v, w in zip(["", *words], words) for k in range(SHORT, min(LONG, len(w)) + 1)}
-        term = [t for t, _ in before] + [t for d in docs for t in d]
-        prev = [p for _, p in before] + [-1] * (len(term) - len(before))
-        toxic = [0] * (len(before) + len(docs[0])) + list(docs[1].values())
-        clean = [0] * len(before) + list(docs[0].values()) + [0] * len(docs[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(term, pa.string()), *(pa.array(x, pa.int64()) for x in (prev, toxic, clean))],
-            ["term", "prev", "toxic", "clean"],
-        )
+            docs[y].update({t for w in set(folded(text or "")) for t in beginnings(w)})
+        term = list(docs[0] | docs[1])
+        yield pa.RecordBatch.from_arrays([pa.array(term, pa.string()), *(pa.array([docs[y][t] for t in term], pa.int64()) for y in (1, 0))], ["term", "a", "c"])
+
+
+def _sketch(words: list[str]) -> int:
+    """The least hash of a text's three-word shingles, which copies and most near copies share."""
+    return min((zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))), default=0)
+
+
+def _before(wanted):
+    """(y, text) to the distinct (beginning, hash of the word before it, sketch) of toxic documents, for wanted beginnings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            met: set[tuple[str, int, int]] = set()
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = folded(text or "") if y else []
+                own = {(t, zlib.crc32(v.encode())) for v, w in zip(["", *words], words) for t in beginnings(w) if t in wanted.value}
+                sketch = _sketch(words) if own else 0
+                met |= {(t, v, sketch) for t, v in own}
+            rows = list(met)
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate((pa.string(), pa.int64(), pa.int64()))], ["term", "prev", "sketch"])
+
+    return run
+
+
+def _phrases(weights):
+    """(y, text) to the documents of each class that have a two-word phrase around an entry, summed per piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            docs = (Counter(), Counter())
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = folded(text or "")
+                met = set()
+                for i, w in enumerate(words):
+                    entry = max((t for t in beginnings(w) if t in weights.value), key=lambda t: weights.value[t], default=None)
+                    if entry is not None:
+                        met |= {(entry, " ".join(words[j : j + 2])) for j in (i - 1, i) if 0 <= j < len(words) - 1}
+                docs[y].update(met)
+            keys = list(docs[0] | docs[1])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([k[j] for k in keys], pa.string()) for j in (0, 1)), *(pa.array([docs[y][k] for k in keys], pa.int64()) for y in (1, 0))],
+                ["entry", "phrase", "a", "c"],
+            )
+
+    return run
 
 
 def surprise(a: float, c: float, share: float) -> float:
@@ -160,14 +204,14 @@ def surprise(a: float, c: float, share: float) -> float:
     return a * math.log(a / (n * share)) + (c * math.log(c / (n * (1 - share))) if c else 0.0)
 
 
-def entries(cases: dict[str, tuple[int, int]], share: float) -> dict[str, float]:
-    """Of word beginnings with (toxic, clean) cases, the ones to keep with their weights.
+def entries(cases: dict[str, tuple[int, int]], share: float, least: float) -> dict[str, float]:
+    """Of word beginnings with (toxic, clean) cases, the ones of at least that surprise, with their weights.
 
     A beginning goes if a longer one has nearly its toxic cases and at most half its
     clean ones; a longer one goes if a kept shorter one weighs as much.
     """
     odds = lambda a, c: math.log((a + 0.5) / share) - math.log((c + 0.5) / (1 - share))
-    sure = {t: odds(a, c) for t, (a, c) in cases.items() if a > c and surprise(a, c, share) >= SURPRISE}
+    sure = {t: odds(a, c) for t, (a, c) in cases.items() if a > c and surprise(a, c, share) >= least}
     sure = {t: w for t, w in sure.items() if w >= WEIGHT}
     loose = set()
     for t in sure:
@@ -183,22 +227,53 @@ def entries(cases: dict[str, tuple[int, int]], share: float) -> dict[str, float]
     return out
 
 
-def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from rows (id, text, y). Without toxic or clean rows, or a sure entry, it is empty and rejects nothing."""
+def _candidates(sample: DataFrame, share: float) -> tuple[dict[str, tuple[int, int]], float]:
+    """Beginnings that may be entries with their (toxic, clean) cases, and the surprise asked for.
+
+    Toxic cases are documents, but no more than distinct words before the beginning or
+    distinct sketches of the documents, of which copies of a document add none. These
+    are looked at only for beginnings that are surprising by documents. All are terms of
+    the bounded sample.
+    """
+    spark = sample.sparkSession
+    tally = in_arrow(sample.select("y", "text"), _counted, "term string, a long, c long")
+    terms = stored(tally.groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c")).where(F.col("a") >= CASES), "terms")
+    least = math.log(max(1, terms.count()) / CHANCE)
+    a, c = F.col("a").cast("double"), F.col("c").cast("double")
+    ratio = a * F.log(a / ((a + c) * share)) + F.when(c > 0, c * F.log(c / ((a + c) * (1 - share)))).otherwise(0.0)
+    found = {r["term"]: (r["a"], r["c"]) for r in terms.where((a > c) & (ratio >= least)).collect()}
+    before = in_arrow(sample.select("y", "text"), _before(spark.sparkContext.broadcast(frozenset(found))), "term string, prev long, sketch long")
+    heads = {r["term"]: r["n"] for r in before.groupBy("term").agg(F.least(F.count_distinct("prev"), F.count_distinct("sketch")).alias("n")).collect()}
+    return {t: (min(a, heads.get(t, 0)), c) for t, (a, c) in found.items() if heads.get(t, 0)}, least
+
+
+def _learned_exceptions(sample: DataFrame, weights: dict[str, float], cases: dict[str, tuple[int, int]]) -> tuple[str, ...]:
+    """Phrases around an entry that are clean far more often than the entry is."""
+    held = sample.sparkSession.sparkContext.broadcast(weights)
+    tally = in_arrow(sample.select("y", "text"), _phrases(held), "entry string, phrase string, a long, c long")
+    rows = tally.groupBy("entry", "phrase").agg(F.sum("a").alias("a"), F.sum("c").alias("c")).where("c > 2 AND c > a").collect()  # of the sample
+    out = set()
+    for r in rows:
+        a, c = cases[r["entry"]]
+        if surprise(r["c"], r["a"], (c + 0.5) / (a + c + 1)) >= SPARED:
+            out.add(r["phrase"])
+    return tuple(sorted(out))
+
+
+def learn(sample: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
+    """A lexicon from rows (id, text, y); exceptions: phrases beside the learned ones.
+
+    Without toxic or clean rows, or a sure entry, it is empty and rejects nothing.
+    """
     size = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Lexicon({}, exceptions, 1.0, -10.0)
-    tally = in_arrow(sample.select("y", "text"), _beginnings, "term string, prev long, toxic long, clean long")
-    summed = (
-        tally.groupBy("term", "prev").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("c"))
-        .groupBy("term").agg(F.least(F.count_if(F.col("prev") >= 0), F.sum("a")).alias("a"), F.sum("c").alias("c")).where("a > 3 AND a > c")
-    )
-    best = summed.orderBy(F.desc(F.col("a") - F.col("c")), "term").limit(ENTRIES).collect()
-    weights = entries({r["term"]: (r["a"], r["c"]) for r in best}, n1 / (n0 + n1))
+    cases, least = _candidates(sample, n1 / (n0 + n1))
+    weights = entries(cases, n1 / (n0 + n1), least)
     if not weights:
         return Lexicon({}, exceptions, 1.0, -10.0)
-    raw = Lexicon(weights, exceptions)
+    raw = Lexicon(weights, tuple(sorted({*exceptions, *_learned_exceptions(sample, weights, cases)})))
     rows = weighed(sample, raw, "y").select("row.y", "total", "n").collect()
     x = np.array([feature(r["total"], r["n"]) for r in rows])
     y = np.array([r["y"] for r in rows], float)
@@ -213,19 +288,23 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-6:
             break
-    return Lexicon(weights, exceptions, float(a), min(float(b), -0.5))  # without a match no text is toxic
+    return Lexicon(weights, raw.exceptions, float(a), min(float(b), -0.5))  # without a match no text is toxic
 
 
-def weighed(docs: DataFrame, lexicon: Lexicon, *cols: str, text_col: str = "text") -> DataFrame:
-    """(row struct of cols, total, n) per row of docs."""
+def weighed(docs: DataFrame, lexicon: Lexicon, *cols: str, text_col: str = "text", back: bool = False) -> DataFrame:
+    """(row struct of cols, total, n) per row of docs, with the text as it was if back."""
     spark = docs.sparkSession
     held = docs.select(F.struct(*cols).alias("row"), F.col(text_col).alias("text"))
     kind = held.schema["row"].dataType.simpleString()
-    return in_arrow(held, _weighed(spark.sparkContext.broadcast(lexicon)), f"row {kind}, total double, n long")
+    return in_arrow(held, _weighed(spark.sparkContext.broadcast(lexicon), back), f"row {kind}, total double, n long" + ", text string" * back)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, predicted, total, n_words) per row; a null or empty text weighs nothing."""
+    """(id, score, predicted, total, n_words) per row; a null or empty text weighs nothing.
+
+    Rows without an id and rows that repeat one are scored like any other; columns but
+    the id are left out.
+    """
     out = weighed(docs, lexicon, id_col, text_col=text_col)
     x = F.log1p(100.0 * F.col("total") / (F.col("n") + 50.0))
     p = 1 / (1 + F.exp(-(lexicon.slope * x + lexicon.offset)))
@@ -243,4 +322,4 @@ def op9_toxicity(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     lexicon = train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    return score(docs, lexicon).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return score(docs, lexicon).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
