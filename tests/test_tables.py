@@ -76,5 +76,5 @@ def _checked(spark):
 def test_salted_join_spreads_a_hot_key(spark):
     left = spark.range(1000).select(F.lit(1).alias("k"), "id")
     right = spark.createDataFrame([(1, "a")], "k int, v string")
-    out = R.salted_join(left, right, "k", 8)
+    out = R.salted_join(left, right, "k", per=8)
     assert out.count() == 1000 and out.columns == ["k", "id", "v"]
