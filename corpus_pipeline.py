@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, mixing, simhash, substring_dedup, toxicity
-from lakeloom.llm.common import fold, stored
+from lakeloom.llm.common import fold, scratch, stored
 from lakeloom.session import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,9 +24,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon scores below 0.5; learned outside fold 0 of 5 of all labelled documents."""
     lexicon = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    out = toxicity.weighed(docs, lexicon, *COLUMNS)
+    out = toxicity.weighed(docs, lexicon, *(c for c in COLUMNS if c != "text"), back=True)
     x = F.log1p(100.0 * F.col("total") / (F.col("n") + 50.0))
-    return out.where(1 / (1 + F.exp(-(lexicon.slope * x + lexicon.offset))) < 0.5).select("row.*")
+    return out.where(1 / (1 + F.exp(-(lexicon.slope * x + lexicon.offset))) < 0.5).select("row.doc_id", "text", "row.lang", "row.source", "row.n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
-    hit = decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    _, hit, _ = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
+    keyed = docs.withColumn("key", decontaminate.row_key("doc_id", "text"))
+    return keyed.join(hit.select("key").distinct(), "key", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,10 +69,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents; when a stage's result is written, its work tables and the result before go."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    with scratch(spark) as trim:
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), name)
+            trim()
     return docs
 
 
