@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import hashlib
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,13 +28,32 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Paths of work tables in the order in which they were made.
+_MADE: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the process ends."""
     path = f"{shared_dir(spark)}/lakeloom/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     atexit.register(_delete, spark, path)
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Gives a function that removes the work tables made inside but for the last one, the result that was stored()."""
+    begun = len(_MADE)
+
+    def trim() -> None:
+        for path in _MADE[begun:-1]:
+            _delete(spark, path)
+        del _MADE[begun:-1]
+
+    yield trim
+    trim()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a work table that no later step reads."""
     _delete(spark, path)
@@ -253,21 +273,16 @@ class Runs:
         return mix((self.sums[stop] - self.sums[begin]) * self.inverse[begin] + (stop - begin).astype(np.uint64))
 
 
+@contextmanager
 def free_shuffles(spark: SparkSession):
     """While open, shuffle files go when the statement that wrote them ends."""
-    from contextlib import contextmanager
-
-    @contextmanager
-    def scope():
-        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-        before = spark.conf.get(key, None)
-        spark.conf.set(key, "true")
-        try:
-            yield
-        finally:
-            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-    return scope()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def least_hashed(ids: DataFrame, n: int, rows: int, key: str = "id") -> DataFrame:
