@@ -169,6 +169,13 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablation(spark, sf_dir: str) -> DataFrame:
+    """What each rule of the production policy rejects, alone and with the others, over all documents."""
+    from lakeloom.session import table
+
+    return ablation(ledger(table(spark, sf_dir, "documents")))
+
+
 ORACLE = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -204,3 +211,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        fail_bits = 0 AS kept, n_lines, n_upper, fail_bits, 'v1' AS policy_version
 FROM b"""
+
+#: The ledger read once more: each rule's bit counted over the masks.
+ABLATION_ORACLE = f"""
+WITH l AS ({ORACLE}),
+r AS (SELECT unnest({[x.name for x in RULES]}) AS rule, unnest({[1 << i for i in range(len(RULES))]}) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits = bit) AS n_failed_only_this,
+       count(*) FILTER (fail_bits & ~bit = 0) AS n_kept_without
+FROM r, l GROUP BY rule"""

@@ -26,9 +26,11 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
+    "quality_ablation": quality_rules.quality_ablation,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "quality_ablation": quality_rules.ABLATION_ORACLE,
     "op2_decontaminate": decontaminate.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
     "op7_warc": warc_zip.ORACLE,
