@@ -29,10 +29,56 @@ from lakeloom.llm.components import components
 #: Members of a bucket up to which all its pairs are compared at once.
 PAIRS = 512
 
+#: Shingles of a document that are hashed at once.
+SHINGLES = 65_536
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: The five primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+_LOW = np.uint64(0x0101010101010101)  # the lowest bit of each byte
+
+
+def _rotated(x: np.ndarray, k: int) -> np.ndarray:
+    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+
+
+def xxh64(body: np.ndarray, begin: np.ndarray, stop: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of body[begin:stop] (bytes), elementwise: together under 32 bytes, one by one beyond."""
+    held = np.concatenate([body, np.zeros(8, np.uint8)])
+    eight, four = (np.ndarray(len(body) + 1, kind, held, strides=(1,)) for kind in ("<u8", "<u4"))
+    left = stop - begin
+    h = left.astype(np.uint64) + np.uint64((seed + int(_P5)) % (1 << 64))
+    live = np.flatnonzero(left < 32)
+    at, left, x = begin[live], left[live], h[live]
+    for _ in range(3):
+        i = np.flatnonzero(left >= 8)
+        x[i] = _rotated(x[i] ^ (_rotated(eight[at[i]] * _P2, 31) * _P1), 27) * _P1 + _P4
+        at[i] += 8
+        left[i] -= 8
+    i = np.flatnonzero(left >= 4)
+    x[i] = _rotated(x[i] ^ (four[at[i]].astype(np.uint64) * _P1), 23) * _P2 + _P3
+    at[i] += 4
+    left[i] -= 4
+    for _ in range(3):
+        i = np.flatnonzero(left > 0)
+        x[i] = _rotated(x[i] ^ (held[at[i]].astype(np.uint64) * _P5), 11) * _P1
+        at[i] += 1
+        left[i] -= 1
+    x = (x ^ (x >> np.uint64(33))) * _P2
+    x = (x ^ (x >> np.uint64(29))) * _P3
+    h[live] = x ^ (x >> np.uint64(32))
+    long = np.flatnonzero(stop - begin >= 32)
+    if len(long):
+        view = memoryview(body)
+        h[long] = np.fromiter((xxhash.xxh64_intdigest(view[x:y], seed) for x, y in zip(begin[long].tolist(), stop[long].tolist())), np.uint64, len(long))
+    return h
+
+
 def _fingerprints(width: int):
     """Batches of (id, text) to (id, fp): fp is the signed form of the 64 bits."""
 
@@ -42,29 +88,32 @@ def _fingerprints(width: int):
             text, off = buffers(batch.column(1))
             text = _LOWER[text]
             starts, ends, first = word_bounds(text, off, is_word)
-            fps = np.zeros(batch.num_rows, np.uint64)
-            length = ends - starts
             # words of the batch with one space after each
-            at = np.concatenate([[0], np.cumsum(length + 1)]).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(ends - starts + 1)]).astype(np.int64)
             joined = np.full(int(at[-1]), 32, np.uint8)
-            keep = is_word[text]
             spot = np.ones(len(joined), bool)
             spot[at[1:] - 1] = False
-            joined[spot] = text[keep]
-            body = memoryview(joined.tobytes())
+            joined[spot] = text[is_word[text]]
             begin, stop = at[:-1], at[1:] - 1
-            for d in range(batch.num_rows):
-                a, b = int(first[d]), int(first[d + 1])
-                if a == b:
-                    continue
-                n = max(1, b - a - width + 1)
-                s = begin[a : a + n].tolist()
-                e = stop[b - n : b].tolist()
-                h = np.array([xxhash.xxh64_intdigest(body[x:y], 42) for x, y in zip(s, e)], np.uint64)
-                ones = np.zeros(64, np.int64)
-                for k in range(0, n, 65536):
-                    ones += np.unpackbits(h[k : k + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-                fps[d] = np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0]
+            size = np.diff(first)
+            n = np.where(size > 0, np.maximum(1, size - width + 1), 0)  # shingles of each document
+            base = np.concatenate([[0], np.cumsum(n)])
+            ones = np.zeros((batch.num_rows, 64), np.int64)
+            for k in range(0, int(base[-1]), SHINGLES):
+                some = np.arange(k, min(k + SHINGLES, int(base[-1])))
+                docs = np.arange(*(np.searchsorted(base, (some[0], some[-1]), "right") + (-1, 0)))
+                doc = np.repeat(docs, np.minimum(base[docs + 1], some[-1] + 1) - np.maximum(base[docs], k))
+                word = some - base[doc] + first[doc]
+                h = xxh64(joined, begin[word], stop[word + np.minimum(width, size[doc]) - 1], 42)
+                # bits are counted in bytes, eight at a time, over at most 255 shingles of a document
+                lead = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                place = np.arange(len(doc)) - np.repeat(lead, np.diff(np.append(lead, len(doc))))
+                cut = np.flatnonzero(place % 255 == 0)
+                count = np.empty((len(cut), 8, 8), np.int64)
+                for j in range(8):
+                    count[:, :, j] = np.add.reduceat((h >> np.uint64(j)) & _LOW, cut).view(np.uint8).reshape(-1, 8)
+                np.add.at(ones, doc[cut], count.reshape(-1, 64))
+            fps = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").reshape(-1).view(np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     return run
@@ -172,19 +221,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents link where their fingerprints differ in two bits or fewer; equal
     fingerprints, those of empty texts among them, link too. Repeated ids keep their
-    rows. An empty table gives an empty table. Other columns are left out.
+    rows. Rows without an id link like any other, but give no component its id; where
+    no row of a component has one it is null. An empty table gives an empty table.
+    Other columns are left out.
     """
     fps = stored(fingerprints(docs, id_col, text_col, width), "fingerprints")
     firsts = stored(fps.groupBy("fp").agg(F.min("id").alias("first")), "firsts")
-    near = links(firsts.select("fp"))
-    side = firsts.select(F.col("fp").alias("a"), F.col("first").alias("fa"))
-    other = firsts.select(F.col("fp").alias("b"), F.col("first").alias("fb"))
-    edges = near.join(side, "a").join(other, "b").select(F.col("fa").alias("a"), F.col("fb").alias("b"))
-    parts = components(edges)
-    # a class per fingerprint, then the fingerprint's documents
-    classes = firsts.join(parts, firsts["first"] == parts["node"], "left").select(
-        "fp", F.coalesce("component", "first").alias("component_id")
-    )
+    parts = components(links(firsts.select("fp")))
+    # a part per fingerprint, the least id of a part, then the fingerprint's documents
+    held = firsts.join(parts, firsts["fp"] == parts["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
+    least = held.groupBy("part").agg(F.min("first").alias("component_id"))
+    classes = held.join(least, "part").select("fp", "component_id")
     return fps.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
