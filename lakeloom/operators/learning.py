@@ -181,6 +181,30 @@ def logistic_regression(df: DataFrame, cols: Sequence[str], label: str) -> DataF
     return LogisticRegression(labelCol=label).fit(held).transform(held).drop("features", "rawPrediction", "probability")
 
 
+def forest_classes(df: DataFrame, cols: Sequence[str], label: str, trees: int = 20, seed: int = 1, bins: int = 32) -> DataFrame:
+    """df with prediction, by a forest of classification trees (of one tree: over all rows)."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    held = assembled(df, cols)
+    return RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, maxBins=bins).fit(held).transform(held).drop("features", "rawPrediction", "probability")
+
+
+def naive_bayes(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """df with prediction, by normal distributions of each column in each class."""
+    from pyspark.ml.classification import NaiveBayes
+
+    held = assembled(df, cols)
+    return NaiveBayes(labelCol=label, modelType="gaussian").fit(held).transform(held).drop("features", "rawPrediction", "probability")
+
+
+def linear_svm(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """df with prediction (0 or 1), by a linear support vector machine."""
+    from pyspark.ml.classification import LinearSVC
+
+    held = assembled(df, cols)
+    return LinearSVC(labelCol=label).fit(held).transform(held).drop("features", "rawPrediction")
+
+
 def importances(df: DataFrame, cols: Sequence[str], label: str, trees: int = 20, seed: int = 1, method: str = "forest") -> DataFrame:
     """(feature, importance), one row per column.
 

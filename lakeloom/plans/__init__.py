@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-_NAMES = ("pricing", "projection", "scalars", "joining", "aggregation", "functions", "learning")
+_NAMES = ("pricing", "projection", "scalars", "joining", "aggregation", "functions", "learning", "networks")
 
 
 def modules() -> list:

@@ -42,6 +42,15 @@ def group_moments(spark, d):
     )
 
 
+@_r.add("SELECT event_type, median(value) AS med, true AS close FROM events GROUP BY event_type")
+def group_quantile_sketch(spark, d):
+    """A median, and whether its sketch of bounded size is within a hundredth of the ranks of it."""
+    v = F.col("value")
+    told = [A.quantile(v, F.lit(p)).alias(n) for p, n in ((0.49, "lo"), (0.5, "med"), (0.51, "hi"))]
+    t = table(spark, d, "events").groupBy("event_type").agg(*told, A.quantile(v, F.lit(0.5), approximate=True).alias("sketch"))
+    return t.select("event_type", "med", F.col("sketch").between(F.col("lo"), F.col("hi")).alias("close"))
+
+
 @_r.add("""
 SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS names, string_agg(substr(n_name, 1, 1), '' ORDER BY n_nationkey) AS initials, count(*) FILTER (WHERE n_nationkey > 10) AS high,
        bool_or(n_nationkey > 20) AS some, bool_and(n_nationkey > 3) AS every, list_sort(list(n_nationkey)) AS keys, list_sort(list(DISTINCT length(n_name))) AS lengths

@@ -221,6 +221,14 @@ def random_column(spark, d):
     return table(spark, d, "orders").select("o_orderkey", x.alias("x")).select("o_orderkey", ((F.col("x") >= 0) & (F.col("x") < 1)).alias("inside"))
 
 
+@_r.add("SELECT o_orderkey, CAST(1 AS BIGINT) AS parts FROM orders")
+def sample_parts(spark, d):
+    """Every row is in one of three parts by hash."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    parts = [R.sample(o, parts=3, part=i, columns=["o_orderkey"], seed=5) for i in range(3)]
+    return R.union(*parts).groupBy("o_orderkey").agg(F.count("*").alias("parts"))
+
+
 @_r.add()
 def sample_fraction(spark, d):
     """About a tenth of the rows."""

@@ -176,7 +176,7 @@ def graph_triangles(spark, d):
 @_r.add()
 def graph_components(spark, d):
     """Connected components of suppliers and parts (negative ids) that share lines."""
-    return L.connected_components(_edges(spark, d).withColumn("t", -F.col("t")), "s", "t")
+    return L.connected_components(_edges(spark, d).withColumn("t", -1 - F.col("t")), "s", "t")
 
 
 @_r.add()

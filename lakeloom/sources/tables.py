@@ -48,6 +48,12 @@ def batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(row["b"])
 
 
+def frames(df: DataFrame) -> Iterator:
+    """Rows as pandas frames, a batch each."""
+    for batch in batches(df):
+        yield batch.to_pandas()
+
+
 def aligned(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """df in a table's column order and types; missing columns are NULL, others an error."""
     unknown = {c.lower() for c in df.columns} - {n.lower() for n, _ in columns}

@@ -1,6 +1,7 @@
 """Edge cases of the operators: NULLs, names, errors."""
 
 import collections
+import math
 import random
 
 import pytest
@@ -12,10 +13,12 @@ from lakeloom.functions import strings as S
 from lakeloom.functions import windows as W
 from lakeloom.operators import learning as L
 from lakeloom.operators import metrics as M
+from lakeloom.operators import networks as G
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import relational as R
 from lakeloom.operators import reshape as P
 from lakeloom.operators import sketches as K
+from lakeloom.operators import texts as X
 from lakeloom.plans import joining
 from lakeloom.plans import learning as graphs
 from lakeloom.sources import tables as T
@@ -205,14 +208,14 @@ def test_graphs_of_all_lines(spark, tmp_path):
     through = {v: sum(b in near[a] for a in near[v] for b in near[v]) // 2 for v in nodes}
     assert values(graphs.graph_triangles(spark, str(tmp_path))) == sorted(((v, n) for v, n in through.items() if n), key=repr)
 
-    label = {x: x for s, t in edges for x in (s, -t)}
+    label = {x: x for s, t in edges for x in (s, -1 - t)}
     moved = True
     while moved:
         moved = False
         for s, t in edges:
-            low = min(label[s], label[-t])
-            moved |= label[s] != low or label[-t] != low
-            label[s] = label[-t] = low
+            low = min(label[s], label[-1 - t])
+            moved |= label[s] != low or label[-1 - t] != low
+            label[s] = label[-1 - t] = low
     assert values(graphs.graph_components(spark, str(tmp_path))) == sorted(label.items(), key=repr)
 
     rank = dict.fromkeys(nodes, 1 / len(nodes))
@@ -310,3 +313,54 @@ def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Away())
     assert session.shared_dir(spark)
+
+
+def test_paths_cores_and_labels(spark):
+    rng = random.Random(12)
+    edges = [(rng.randint(0, 40), rng.randint(0, 40), float(rng.randint(0, 9))) for _ in range(150)] + [(100, 101, 1.0), (None, 3, 1.0), (4, None, 1.0), (7, 7, 2.0)]
+    df = spark.createDataFrame(edges, "s long, t long, w double")
+    known = [e for e in edges if None not in e]
+    far = {0: 0.0}
+    for _ in range(60):
+        for a, b, w in known:
+            if a in far and far[a] + w < far.get(b, math.inf):
+                far[b] = far[a] + w
+    assert dict(values(G.shortest_paths(df, "s", "t", 0, "w"))) == far
+    assert values(G.shortest_paths(df, "s", "t", 999)) == [(999, 0.0)]
+
+    near = collections.defaultdict(set)
+    for a, b, _ in known:
+        if a != b:
+            near[a].add(b), near[b].add(a)
+    core = {k: set(v) for k, v in near.items()}
+    while any(len(v) < 4 for v in core.values()):
+        gone = {k for k, v in core.items() if len(v) < 4}
+        core = {k: v - gone for k, v in core.items() if k not in gone}
+    assert core and values(G.k_core(df, "s", "t", 4)) == sorted(((a, b) for a, v in core.items() for b in v if a < b), key=repr)
+    assert values(G.k_core(df, "s", "t", 50)) == []
+
+    label = {k: k for k in near}
+    for _ in range(3):
+        new = {}
+        for k in near:
+            votes = collections.Counter([label[k], *(label[j] for j in near[k])])
+            new[k] = min(x for x, n in votes.items() if n == max(votes.values()))
+        label = new
+    assert dict(values(G.label_propagation(df, "s", "t", 3))) == label
+    m = sum(map(len, near.values()))
+    want = sum(sum(label[j] == label[k] for j in near[k]) for k in near) / m - sum((sum(len(near[k]) for k in near if label[k] == x) / m) ** 2 for x in set(label.values()))
+    got = G.modularity(df, "s", "t", spark.createDataFrame(list(label.items()), "node long, label long")).first()[0]
+    assert got == pytest.approx(want)
+    dense = {k: sum(b in near[a] for a in v for b in v) / max(1, len(v) * (len(v) - 1)) for k, v in near.items()}
+    assert dict(values(G.node_density(df, "s", "t"))) == pytest.approx(dense)
+    assert {r["component"] for r in G.largest_component(df, "s", "t").collect()} == {0}
+
+
+def test_texts_and_classifiers(spark):
+    df = spark.createDataFrame([(1, "a b a b"), (2, "a"), (3, None), (4, " c\n c ")], "i int, t string")
+    assert values(X.ngrams(df, "i", "t", 2)) == [(1, "a b", 2), (1, "b a", 1), (4, "c c", 1)]
+    assert [r["word"] for r in X.keywords(df, "i", "t", 1).where("i = 1").collect()] == ["b"]
+    assert one(spark, X.similarity(F.lit(""), F.lit(""))) == 1.0 and one(spark, X.similarity(F.lit("abcd"), F.lit("abxd"))) == 0.75
+    rows = spark.range(200).select("id", (F.col("id") % 20).cast("double").alias("x")).withColumn("y", (F.col("x") > 9).cast("int"))
+    for f in (L.linear_svm, L.naive_bayes, L.forest_classes):
+        assert f(rows, ["x"], "y").where("prediction = y").count() >= 190

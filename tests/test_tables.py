@@ -43,6 +43,7 @@ def test_actions_together(spark):
 
 def test_json_batches_and_trunc(spark):
     assert [x for b in T.batches(spark.range(3)) for x in b.column(0).to_pylist()] == [0, 1, 2]
+    assert sum(int(f["id"].sum()) for f in T.frames(spark.range(10))) == 45
     t = spark.range(1).select(F.lit(dt.datetime(2024, 5, 6, 7, 8)).alias("t"))
     assert t.select(*[T.trunc_time(F.col("t"), p) for p in ("year", "month", "day", "hour")]).first() == ("2024", "2024-05", "2024-05-06", "2024-05-06 07:00:00")
 
