@@ -34,8 +34,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Bytes from which equal payloads become revisits; records and bytes of an archive.
 REVISIT, RECORDS, BYTES = 100, 50_000, 1 << 30
 
-#: Bytes of neighbouring records that are read at once; size of a read task's range.
-JOINED, RANGE = 4 << 20, 64 << 20
+#: Bytes of neighbouring records that are read at once; size of a read task's range; tasks at most.
+JOINED, RANGE, TASKS = 4 << 20, 8 << 20, 100_000
 
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -139,7 +139,10 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     Of equal payloads of REVISIT bytes or more the least id is a response and the
     others revisit it. A null payload is empty. Rows without an id are left out;
     rows that repeat an id with equal payloads are all responses if it is the least.
-    No rows: no archives.
+    No rows: no archives. Other columns are left out, whatever their names.
+
+    Shorter payloads meet the first ones under keys of their own, as none of them can
+    be a revisit: an empty payload that many pages share gathers nowhere.
     """
     rows = pages.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("payload")
@@ -149,7 +152,9 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
         keyed.where(F.octet_length("payload") >= REVISIT).groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     )
-    told = keyed.join(firsts, "digest", "left").select(
+    long = F.octet_length("payload") >= REVISIT
+    met = keyed.withColumn("key", F.when(long, F.col("digest")).otherwise(F.concat(F.lit("-"), F.col("page_id").cast("string"))))
+    told = met.join(firsts.withColumnRenamed("digest", "key"), "key", "left").select(
         "page_id", "url", "payload", "digest", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to")
     )
     folder = folder or new_path(pages.sparkSession, "archives")
@@ -222,8 +227,13 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def records(paths: DataFrame) -> DataFrame:
-    """(path, offset, length) of every record of the archives in a column path."""
-    return in_arrow(paths.select("path").repartition("path"), _located, "path string, offset long, length long")
+    """(path, offset, length) of every record of the archives in a column path.
+
+    The paths are few and short beside what is read for them, so they are dealt to a
+    number of tasks of their own (an archive each, up to TASKS) and not by their bytes.
+    """
+    n = max(1, min(TASKS, paths.count()))
+    return in_arrow(paths.select("path").repartition(n, "path"), _located, "path string, offset long, length long")
 
 
 _READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload string"
@@ -270,10 +280,14 @@ def _read(with_payload: bool):
 def read(paths: DataFrame, with_payload: bool = True) -> DataFrame:
     """Every record of the archives, its length and digest taken from the bytes read.
 
-    A revisit has no payload; its length and digest are those its headers state.
+    A revisit has no payload; its length and digest are those its headers state. The
+    places of records are a work table; ranges of RANGE bytes are dealt to as many
+    tasks as the bytes of the archives make, not by the size of the places.
     """
-    where = records(paths)
-    dealt = where.repartition("path", F.floor(F.col("offset") / RANGE)).sortWithinPartitions("path", "offset")
+    where = stored(records(paths), "places")
+    size = where.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    n = max(1, min(TASKS, -(-size // RANGE)))
+    dealt = where.repartition(n, "path", F.floor(F.col("offset") / RANGE)).sortWithinPartitions("path", "offset")
     return in_arrow(dealt, _read(with_payload), _READ)
 
 
