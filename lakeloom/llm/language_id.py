@@ -7,8 +7,10 @@ length and by the document's length, wins.
 
 A greedy parse never needs suffix links: at a missing transition a phrase ends and
 the next begins at the root. So an automaton becomes one table of next state and
-break bit, and all documents of a piece step through it together. Texts are parsed
-in blocks of BLOCK letters, each starting a phrase.
+break bit, and all documents of a piece step through it together. A long text steps
+through in blocks side by side: blocks whose beginning state turns out to be another
+than was assumed are parsed again from it, until all agree, so the phrases are those
+of one parse of the whole text.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import fold, in_arrow, pieces, stored
+from lakeloom.llm.common import fold, held_out, in_arrow, pieces, stored
 
-#: Documents and symbols of the sample per language; symbols of a block.
-SAMPLE_DOCS, SAMPLE_SYMBOLS, BLOCK = 64, 16_000, 1024
+#: Languages at most (those with most learning rows); documents and symbols of the sample of each; symbols of a block.
+LANGUAGES, SAMPLE_DOCS, SAMPLE_SYMBOLS, BLOCK = 128, 64, 16_000, 4096
+#: Characters of a document that may enter the sample, from a hashed place on.
+SAMPLE_CHARS = 4 * SAMPLE_SYMBOLS // SAMPLE_DOCS
 #: Sharpness of the score: a softmax of the entropies in bits per symbol.
 SHARPNESS = 4.0
 
@@ -103,21 +107,33 @@ class Languages:
         return len(self.symbols) + 2
 
 
+def shares(lengths: list[int], most: int) -> list[int]:
+    """How much of each text to take for most in all: equal shares, and what short texts leave is dealt to the others."""
+    out, left = [0] * len(lengths), most
+    order = sorted(range(len(lengths)), key=lambda i: lengths[i])
+    for k, i in enumerate(order):
+        out[i] = min(lengths[i], left // (len(order) - k))
+        left -= out[i]
+    return out
+
+
 def learn(sample: list[tuple[str, str]], symbols: int = SAMPLE_SYMBOLS) -> Languages | None:
-    """Automata from (language, text) rows; each language takes up to that many symbols."""
+    """Automata from (language, text) rows; each language takes up to that many symbols, of all its texts alike.
+
+    Equal texts of a language count once. A language without a letter is left out.
+    """
     texts: dict[str, list[np.ndarray]] = {}
-    for lang, text in sorted(sample):
-        texts.setdefault(lang, []).append(_squeezed(_points(text)))
-    share = {k: max(1, -(-symbols // len(v))) for k, v in texts.items()}
+    for lang, text in sorted(set(sample)):
+        texts.setdefault(lang, []).append(np.append(_squeezed(_points(text)), 32))
     body = {}
     for k, v in sorted(texts.items()):
-        x = np.concatenate([np.append(t[: 4 * share[k]], 32) for t in v])[:symbols]
+        x = np.concatenate([t[:n] for t, n in zip(v, shares([len(t) for t in v], symbols))])
         if (x != 32).any():
             body[k] = x
     if not body:
         return None
     known = sorted({int(p) for x in body.values() for p in np.unique(x)} - {32})
-    number = {p: i + 2 for i, p in enumerate(known)} 
+    number = {p: i + 2 for i, p in enumerate(known)}
     tables, roots, at = [], [], 0
     for x in body.values():
         t = automaton([_BLANK if p == 32 else number[p] for p in x.tolist()], len(known) + 2)
@@ -133,14 +149,29 @@ def parse(langs: Languages, texts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(texts), len(langs.names)), np.int64)
     if not blocks:
         return out
-    blocks.sort(key=lambda b: -len(b[1]))
-    lengths = np.array([len(b) for _, b in blocks])
+    owner = np.array([d for d, _ in blocks])
+    inner = np.append(False, owner[1:] == owner[:-1])  # blocks that go on where the one before ends
+    begin = np.repeat(langs.roots[:, None], len(blocks), 1)
+    end, count = begin.copy(), np.zeros_like(begin)
+    todo = np.arange(len(blocks))
+    while len(todo):
+        todo = todo[np.argsort([-len(blocks[j][1]) for j in todo], kind="stable")]
+        end[:, todo], count[:, todo] = _stepped(langs, [blocks[j][1] for j in todo], begin[:, todo])
+        met = begin.copy()
+        met[:, 1:] = np.where(inner[1:], end[:, :-1], begin[:, 1:])
+        todo = np.flatnonzero((met != begin).any(0))
+        begin = met
+    np.add.at(out, owner, count.T + ~inner[:, None])
+    return out
+
+
+def _stepped(langs: Languages, blocks: list[np.ndarray], state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State after each block (longest first) and phrases that end in it, under each language."""
+    lengths = np.array([len(b) for b in blocks])
     steps = np.zeros((lengths[0], len(blocks)), np.int32)
-    for j, (_, b) in enumerate(blocks):
+    for j, b in enumerate(blocks):
         steps[: len(b), j] = b
-    k = len(langs.names)
-    state = np.repeat(langs.roots[:, None], len(blocks), 1)
-    count = np.ones((k, len(blocks)), np.int64)
+    state, count = state.copy(), np.zeros_like(state)
     live = len(blocks)
     for i in range(lengths[0]):
         while live and lengths[live - 1] <= i:
@@ -148,8 +179,7 @@ def parse(langs: Languages, texts: list[np.ndarray]) -> np.ndarray:
         v = langs.table[state[:, :live] * langs.size + steps[i, :live]]
         count[:, :live] += v & 1
         state[:, :live] = v >> 1
-    np.add.at(out, np.array([d for d, _ in blocks]), count.T)
-    return out
+    return state, count
 
 
 def _predicted(langs):
@@ -179,20 +209,31 @@ def _predicted(langs):
 
 
 def train(docs: DataFrame, keep: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Languages | None:
-    """Automata from a bounded sample: per language the document of least hash in each of SAMPLE_DOCS buckets."""
+    """Automata from a bounded sample: per language the document of least hash in each of SAMPLE_DOCS buckets.
+
+    Of a document at most SAMPLE_CHARS characters, from a hashed place on, reach the
+    driver. Rows without a language or an id are not learned from; rows that repeat an
+    id give one text. Of more than LANGUAGES languages those with most rows are learned.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    rows = (rows if keep is None else rows.where(keep)).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = (rows if keep is None else rows.where(keep)).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), text.alias("text"))
+    most = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang"))
     bucket = F.pmod(F.shiftrightunsigned("h", 8), F.lit(SAMPLE_DOCS)).alias("bucket")
-    least = rows.groupBy("lang", bucket).agg(F.min("h").alias("h")).select("lang", "h")
-    sample = rows.join(F.broadcast(least), ["lang", "h"]).select("lang", F.coalesce("text", F.lit("")).alias("text"))
-    return learn([(r["lang"], r["text"]) for r in stored(sample, "lang_sample").collect()])  # languages times SAMPLE_DOCS rows
+    least = rows.select("lang", "h").join(most, "lang").groupBy("lang", bucket).agg(F.min("h").alias("h")).select("lang", "h")  # LANGUAGES times SAMPLE_DOCS
+    at = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
+    cut = rows.join(F.broadcast(least), ["lang", "h"]).select("lang", "h", F.substring("text", at, F.lit(SAMPLE_CHARS)).alias("text"))
+    sample = cut.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return learn([(r["lang"], r["text"]) for r in stored(sample, "lang_sample").collect()])  # LANGUAGES times SAMPLE_DOCS rows
 
 
 def predict(docs: DataFrame, langs: Languages | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) per row.
 
     A null text or one without a letter is `und` with score 0, as is every text if
-    nothing was learned. Ties go to the language first in alphabetical order.
+    nothing was learned. Ties go to the language first in alphabetical order. Rows
+    without an id and rows that repeat one are predicted like any other; columns but
+    the id are left out.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -206,4 +247,4 @@ def op4_language(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     langs = train(docs, fold("doc_id", 4) != 2)
-    return predict(docs, langs).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return predict(docs, langs).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
