@@ -1,11 +1,12 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A text's terms are byte-class pairs (spelling, case, symbols) and a few shape counts
-(words equal to the one before, equal neighbouring lines, capitals, symbols). Term
-vectors of a bounded labelled sample are weighted and reduced by a truncated singular
-value decomposition; the reduced labelled vectors are broadcast (their number is the
-bound). Every document is projected and compared with all of them in blocks, and the
-labels of the nearest are weighted by cosine.
+A text's terms are its words (lower-cased, hashed to a fixed number of terms), pairs of
+neighbouring byte classes (spelling, case, symbols) and a few shape counts (words equal
+to the one before, words seen before in the text, capitals, symbols). Word terms are
+weighted by their rarity in a bounded labelled sample. The sample's term vectors are
+reduced by a truncated singular value decomposition; the reduced labelled vectors are
+broadcast (their number is the bound). Every document is projected and compared with
+all of them in blocks, and the labels of the nearest are weighted by cosine.
 """
 
 from __future__ import annotations
@@ -18,13 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import blank_table, buffers, fold, in_arrow, labelled_sample, pieces, stored, word_bounds, word_hashes
+from lakeloom.llm.common import blank_table, buffers, fold, gram_hashes, held_out, in_arrow, labelled_sample, pieces, stored, word_bounds, word_hashes
 
 #: Labelled rows per class in the sample; latent dimensions; neighbours that vote.
 PER_CLASS, DIMENSIONS, NEIGHBOURS = 1500, 64, 15
 
+#: Terms that words are hashed to, and their weight beside the others.
+WORDS, WORD_WEIGHT = 4096, 1.0
+
+#: Documents whose terms are held at once.
+ROWS = 256
+
 _CLASSES, _SHAPES = 64, 8
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
 
 def _classes() -> np.ndarray:
     """Byte to one of 64 classes: each small letter, capitals, digits, blanks, symbols, the rest."""
@@ -40,7 +50,7 @@ def _classes() -> np.ndarray:
 
 
 def terms(batch: pa.RecordBatch, column: int = 1) -> np.ndarray:
-    """A row of term counts for each text."""
+    """A row for each text: square roots of the shares of word terms and of pairs of byte classes, and the shape counts."""
     text, off = buffers(batch.column(column))
     n = batch.num_rows
     kind = _classes()[text]
@@ -51,6 +61,8 @@ def terms(batch: pa.RecordBatch, column: int = 1) -> np.ndarray:
     grams = np.bincount(doc[:-1][same] * cells + pair[same], minlength=n * cells).reshape(n, cells)
     starts, ends, first = word_bounds(text, off, blank_table())
     h = word_hashes(text, starts, ends)
+    said = word_hashes(_LOWER[text], starts, ends) % np.uint64(WORDS)
+    words = np.bincount(np.repeat(np.arange(n), np.diff(first)) * WORDS + said.astype(np.int64), minlength=n * WORDS).reshape(n, WORDS)
     shapes = np.zeros((n, _SHAPES))
     if len(h):
         owner = np.repeat(np.arange(n), np.diff(first))
@@ -62,9 +74,9 @@ def terms(batch: pa.RecordBatch, column: int = 1) -> np.ndarray:
         order = np.lexsort((h, owner))
         again = np.zeros(len(h), bool)
         again[order[1:]] = (h[order][1:] == h[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-        three = np.zeros(len(h), np.uint64)
-        three[2:] = h[2:] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[:-2] * np.uint64(7)
-        order = np.lexsort((three, owner))
+        three = gram_hashes(h, 3)
+        inner = np.flatnonzero(owner[: len(three)] == owner[2:])  # windows within a text
+        order = inner[np.lexsort((three[inner], owner[inner]))]
         gram_again = np.zeros(len(h), bool)
         gram_again[order[1:]] = (three[order][1:] == three[order][:-1]) & (owner[order][1:] == owner[order][:-1])
         for j, hit in enumerate((repeat, big, tail >= 31, again, gram_again, ends - starts == 1)):
@@ -72,8 +84,8 @@ def terms(batch: pa.RecordBatch, column: int = 1) -> np.ndarray:
         shapes[:, 6] = np.diff(first)
         shapes /= np.maximum(np.diff(first), 1)[:, None]
     shapes[:, 7] = np.diff(off) == 0
-    rate = np.sqrt(grams / np.maximum(grams.sum(1), 1)[:, None])
-    return np.hstack([rate, shapes]).astype(np.float32)
+    rates = [np.sqrt(x / np.maximum(x.sum(1), 1)[:, None]) for x in (words, grams)]
+    return np.hstack([*rates, shapes]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -92,24 +104,31 @@ class Space:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
-        x = terms(batch)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
+    for piece in pieces(batches):
+        for i in range(0, piece.num_rows, ROWS):
+            batch = piece.slice(i, ROWS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in terms(batch)], pa.binary())], ["y", "x"])
 
 
 def learn(sample: DataFrame, dimensions: int = DIMENSIONS) -> Space | None:
-    """The latent space of rows (id, text, y); None without rows."""
+    """The latent space of rows (id, text, y); None without rows.
+
+    Rows are put in the order of their labels and terms, so that a tie of equal cosines
+    goes alike however they came.
+    """
     rows = in_arrow(sample.select("y", "text"), _counted, "y int, x binary").collect()  # bounded by the sample
+    rows.sort(key=lambda r: (r["y"], r["x"]))
     if not rows:
         return None
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
     y = np.array([r["y"] for r in rows], np.float32)
-    order = np.lexsort((*x[:, :4].T, y))
-    x, y = x[order], y[order]
-    mean = x.mean(0)
-    scale = np.ones(x.shape[1], np.float32)
-    scale[-_SHAPES:] = 1.0 / np.maximum(x[:, -_SHAPES:].std(0), 0.05) * 0.1
-    c = (x - mean) * scale
+    c = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
+    del rows
+    mean = c.mean(0)
+    scale = np.ones(c.shape[1], np.float32)
+    scale[:WORDS] = WORD_WEIGHT * np.log((1 + len(c)) / (1 + (c[:, :WORDS] > 0).sum(0))) / np.log(1 + len(c))
+    scale[-_SHAPES:] = 1.0 / np.maximum(c[:, -_SHAPES:].std(0), 0.05) * 0.1
+    c -= mean
+    c *= scale
     k = min(dimensions, *c.shape)
     q = np.random.default_rng(7).standard_normal((c.shape[1], k + 8)).astype(np.float32)
     for _ in range(4):  # subspace iteration
@@ -122,12 +141,19 @@ def learn(sample: DataFrame, dimensions: int = DIMENSIONS) -> Space | None:
 
 
 def vote(space: Space, z: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
-    """Share of label 1 among the k nearest, weighted by cosine; classes count by their share."""
-    sims = z @ space.vectors.T
+    """Share of label 1 among the k nearest, weighted by squared cosine.
+
+    Cosines are taken to six places; of equal ones at the k-th place the first rows of
+    the sample count. Labels count as they stand in the sample, which holds as many
+    rows of either class as there are up to its bound.
+    """
+    sims = np.round(z @ space.vectors.T, 6)
     k = min(k, sims.shape[1])
-    near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(sims, near, 1), 0) ** 2 + 1e-6
-    return (w * space.labels[near]).sum(1) / w.sum(1)
+    least = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k, None]
+    over, even = sims > least, sims == least
+    near = over | (even & (np.cumsum(even, 1) <= k - over.sum(1)[:, None]))
+    w = np.where(near, np.maximum(sims, 0) ** 2 + 1e-6, 0)
+    return (w @ space.labels) / w.sum(1)
 
 
 def _voted(space, k: int):
@@ -137,7 +163,7 @@ def _voted(space, k: int):
             if held is None:
                 p = np.full(batch.num_rows, 0.5)
             else:
-                p = np.concatenate([vote(held, held.project(terms(batch.slice(i, 256))), k) for i in range(0, batch.num_rows, 256)])
+                p = np.concatenate([vote(held, held.project(terms(batch.slice(i, ROWS))), k) for i in range(0, batch.num_rows, ROWS)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p.astype(np.float64))], ["id", "score"])
 
     return run
@@ -146,7 +172,8 @@ def _voted(space, k: int):
 def score(docs: DataFrame, space: Space | None, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS) -> DataFrame:
     """(id, score, predicted) per row; a null text is scored as an empty one.
 
-    Without a labelled row every score is 0.5.
+    Without a labelled row every score is 0.5. Rows without an id and rows that repeat
+    one are scored like any other; columns but the id are left out.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -165,4 +192,4 @@ def op5_quality(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     space = train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
-    return score(docs, space).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+    return score(docs, space).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
