@@ -249,6 +249,26 @@ def test_salted_join_spreads_equal_rows_of_a_hot_key(spark, how):
         assert len(sizes) == 30 and max(sizes) <= 20  # no salt holds much more than its share
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_join_deals_keys_of_many_pairs_to_many_tasks(spark, how):
+    left = spark.createDataFrame([(k, "same") for k in (1, 2) for _ in range(3000)] + [(3, "x"), (4, "y"), (None, "n")], "k int, a string")
+    right = spark.createDataFrame([(k, i) for k in (1, 2) for i in range(40)] + [(3, 7), (5, 8), (None, 9)], "k int, a int")
+    plain = R.join(left, right, "k", how, merge=how != "inner" or None)
+    got = R.join(left, right, "k", how, merge=how != "inner" or None, spread=1000)
+    assert got.columns == plain.columns == ["k", "a_x", "a_y"]
+    assert values(got.groupBy(*got.columns).count()) == values(plain.groupBy(*plain.columns).count())
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 16 and max(tasks) < 240_000 / 4
+
+
+def test_salted_join_repeats_right_rows_no_more_often_than_there_are_tasks(spark):
+    left = spark.range(20_000).select(F.lit(1).alias("k"), "id")
+    right = spark.range(30).select(F.lit(1).alias("k"), F.col("id").alias("r"))
+    a, b = R._dealt(left, right, [("k", "k")], left.groupBy(F.col("k").alias("_k0")).agg(F.ceil(F.count("*") / 10).cast("int").alias("_n")))
+    assert a.count() == 20_000 and b.count() <= 30 * R._tasks(left)
+    assert R.salted_join(left, right, "k", "outer", per=10).count() == 600_000
+
+
 def test_curves_of_scores_with_an_outlier(spark):
     rng = random.Random(8)
     rows = [(rng.randint(0, 1), rng.choice([rng.random(), round(rng.random(), 1), 1e12 if rng.random() < 0.01 else 0.5])) for _ in range(500)] + [(1, None), (None, 0.25)]
