@@ -39,6 +39,9 @@ def hll_merge(sketch: Column) -> Column:
 #: Bits of a block of a Bloom filter, and how much larger a blocked filter is than a plain one of the same error rate.
 BLOCK_BITS, ROOM = 512, 1.3
 
+#: Bits of a hash that tell a place in a block.
+PLACE_BITS = 9
+
 
 def bloom_bits(capacity: int, error_rate: float) -> tuple[int, int]:
     """Blocks and hashes of a filter for so many keys at a false positive rate."""
@@ -51,25 +54,35 @@ def bloom_filter(df: DataFrame, on: str, keys: DataFrame, column: str, capacity:
 
     A key's hashes all lie in one block of BLOCK_BITS bits, so the filter is a table of
     blocks (eight words each), aggregated from the keys and joined once. It may have any
-    size, as Spark broadcasts it only if it is small; a NULL key goes.
+    size, as Spark broadcasts it only if it is small; a NULL key goes. A key is hashed
+    once for its block and once for each seven of its bits (nine bits of a hash tell a
+    place), and only its places, not its words, are shuffled.
     """
     blocks, hashes = bloom_bits(capacity, error_rate)
-
-    def block(c: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(-1), c.cast("string")), F.lit(blocks))
-
-    def words(c: Column) -> list[Column]:
-        """The bits of a key in each of the block's words."""
-        at = [F.pmod(F.xxhash64(F.lit(i), c.cast("string")), F.lit(BLOCK_BITS)) for i in range(hashes)]
-        bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(p, F.lit(64)).cast("int"))
-        return [reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.shiftright(p, 6) == w, bit(p)).otherwise(F.lit(0).cast("long")) for p in at]) for w in range(BLOCK_BITS // 64)]
-
-    k = F.col(column)
-    made = keys.where(k.isNotNull()).select(block(k).alias("_block"), *[x.alias(f"_w{i}") for i, x in enumerate(words(k))])
+    each = 63 // PLACE_BITS
+    seeds = range(-(-hashes // each))
+    parts = [f"_h{i}" for i in seeds]
+
+    def hashed(df: DataFrame, c: Column, *kept: str) -> DataFrame:
+        text = c.cast("string")
+        own = [F.xxhash64(F.lit(i), text).alias(f"_h{i}") for i in seeds]
+        return df.where(c.isNotNull()).select(*kept, F.pmod(F.xxhash64(F.lit(-1), text), F.lit(blocks)).alias("_block"), *own)
+
+    def words(df: DataFrame, name: str) -> DataFrame:
+        """The bits of a key in each of the block's words, instead of its hashes."""
+        at = [F.shiftright(f"_h{i // each}", PLACE_BITS * (i % each)).bitwiseAND(F.lit(BLOCK_BITS - 1).cast("long")).alias(f"_p{i}") for i in range(hashes)]
+        placed = df.select(*[c for c in df.columns if c not in parts], *at)
+        bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        every = [F.col(f"_p{i}") for i in range(hashes)]
+        out = [reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.shiftright(p, 6) == w, bit(p)).otherwise(F.lit(0).cast("long")) for p in every]).alias(f"{name}{w}") for w in range(BLOCK_BITS // 64)]
+        return placed.select(*[c for c in df.columns if c not in parts], *out)
+
+    made = words(hashed(keys, F.col(column)), "_w")
     held = made.groupBy("_block").agg(*[F.bit_or(c).alias(c) for c in made.columns[1:]])
-    probe = df.where(F.col(on).isNotNull()).withColumn("_probe", F.struct(block(F.col(on)).alias("b"), *[x.alias(f"w{i}") for i, x in enumerate(words(F.col(on)))]))
-    inside = reduce(lambda x, y: x & y, [F.col(f"_w{i}").bitwiseAND(F.col(f"_probe.w{i}")) == F.col(f"_probe.w{i}") for i in range(BLOCK_BITS // 64)])
-    return probe.join(held, (F.col("_probe.b") == F.col("_block")) & inside, "left_semi").drop("_probe")
+    probe = hashed(df, F.col(on), *df.columns)
+    met = words(probe.join(held, "_block"), "_q")
+    inside = reduce(lambda x, y: x & y, [F.col(f"_w{i}").bitwiseAND(F.col(f"_q{i}")) == F.col(f"_q{i}") for i in range(BLOCK_BITS // 64)])
+    return met.where(inside).select(*df.columns)
 
 
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators import python_functions as U
 from lakeloom.operators import sketches as K
 from lakeloom.plans.registry import Registry
-from lakeloom.session import shared_dir, table
+from lakeloom.session import checkpointed, shared_dir, table
 from lakeloom.sources import tables as T
 from lakeloom.streaming import events as V
 
@@ -119,7 +119,7 @@ def bloom_members(spark, d):
 @_r.add("SELECT true AS few FROM (SELECT 1)")
 def bloom_false_positives(spark, d):
     """Under a fiftieth of the keys that a filter never saw pass it."""
-    keys = table(spark, d, "lineitem").select("l_orderkey").distinct()
+    keys = checkpointed(table(spark, d, "lineitem").select("l_orderkey").distinct())
     strange = keys.select((-F.col("l_orderkey")).alias("k"))
     n = keys.agg(F.count("*").alias("n")).first()[0]
     kept = K.bloom_filter(strange, "k", keys, "l_orderkey", n, 0.01).agg(F.count("*").alias("kept"))
