@@ -18,7 +18,7 @@ _B = """WITH e AS (SELECT DISTINCT l_suppkey AS s, -1 - l_partkey AS t FROM line
 
 
 def _edges(spark, d):
-    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), (-1 - F.col("l_partkey")).alias("t")).distinct()
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), (-1 - F.col("l_partkey")).alias("t"))
 
 
 @_r.add(_B + """, l1 AS (SELECT DISTINCT b AS node FROM u WHERE a = 1), l2 AS (SELECT DISTINCT b AS node FROM u JOIN l1 ON a = node WHERE b <> 1),
@@ -60,7 +60,7 @@ t AS (SELECT node, count(*) AS c FROM (SELECT unnest([i, j, k]) AS node FROM x)
 SELECT n.node, CASE WHEN d > 1 THEN coalesce(c, 0) / (d * (d - 1) / 2.0) ELSE 0.0 END AS density FROM n LEFT JOIN t ON t.node = n.node""")
 def graph_node_density(spark, d):
     """How many of a node's neighbours are neighbours."""
-    e = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("t")).distinct()
+    e = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("t"))
     return G.node_density(e, "s", "t")
 
 

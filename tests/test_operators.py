@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom import session
 from lakeloom.functions import aggregates as A
 from lakeloom.functions import elements as E
 from lakeloom.functions import strings as S
@@ -229,6 +230,42 @@ def test_graphs_of_all_lines(spark, tmp_path):
     assert dict(values(graphs.graph_page_rank(spark, str(tmp_path)))) == pytest.approx(rank)
 
 
+def test_graphs_have_more_tasks_when_they_grow(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    edges = spark.range(1000).select((F.col("id") % 40).alias("s"), (-1 - F.col("id") % 75).alias("t"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    made = [G.label_propagation(edges, "s", "t", 2), G.shortest_paths(edges, "s", "t", 1), G.k_core(edges, "s", "t", 2), L.connected_components(edges, "s", "t"), L.page_rank(edges, "s", "t", 2)]
+    assert all(df.rdd.getNumPartitions() >= 20 for df in made)
+    assert before == {c: spark.conf.get(c) for c in before}
+    held = session.placed(edges, 20, "s")
+    met = held.join(session.placed(edges.select(F.col("s").alias("node")).distinct(), 20, "node"), F.col("s") == F.col("node"))
+    assert met.count() == 1000 and "Exchange hash" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_triangles_of_a_dense_graph_make_no_row_of_each_wedge(spark):
+    edges = spark.range(60).alias("x").crossJoin(spark.range(60).alias("y")).select(F.col("x.id").alias("s"), F.col("y.id").alias("t")).where("s <> t OR s = 3")
+    got = L.triangles(edges, "s", "t")
+    assert {r["triangles"] for r in got.collect()} == {59 * 58 // 2} and got.count() == 60
+    assert "array_intersect" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert L.triangles(edges.where("s = 0"), "s", "t").count() == 0  # a star
+
+
+def test_bloom_filter_hashes_a_key_once_per_seven_bits(spark):
+    keys, strange = spark.range(2000).select(F.col("id").alias("k")), spark.range(5000, 9000).select(F.col("id").alias("q"))
+    for rate in (0.01, 0.0001):  # 7 and 13 hashes
+        assert K.bloom_filter(keys, "k", keys, "k", 2000, rate).count() == 2000
+        assert K.bloom_filter(strange, "q", keys, "k", 2000, rate).count() <= 4000 * rate * 2 + 3
+    plan = K.bloom_filter(strange, "q", keys, "k", 2000, 0.01)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") <= 6  # block, bits and a check of the block, on both sides
+
+
+def test_trees_read_their_rows_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = spark.range(0, 2000, 1, 1).select(F.col("id").cast("double").alias("x"), (F.col("id") > 700).cast("double").alias("y"))
+    got = L.boosted_trees(rows, ["x"], "y", rounds=2)
+    assert got.count() == 2000 and L.in_parts(rows).rdd.getNumPartitions() >= 20
+
+
 def test_joins_of_all_customers(spark, sf_dir):
     left = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_nationkey < 20")
     want = {r["c_custkey"] for r in left.collect()}
