@@ -40,8 +40,8 @@ WINDOW = 24
 #: Rows in which a task hands over its weights; parts whose weights are averaged in one group.
 SLOTS, TOGETHER = 64, 256
 
-#: Tokens that are scored together.
-GROUP = 500_000
+#: Tokens that are scored together: a group takes as many steps as its longest text has words, the last ones for few texts.
+GROUP = 2_000_000
 
 #: The hash of the end of a text.
 END = np.uint64(1)

@@ -28,6 +28,9 @@ BLOCK, GATHERED = 2048, 32_768
 
 _NEVER = -1e9
 
+#: How far under its bound a row's greatest score may lie before the row is searched for it (32-bit exponentials end at -87).
+SPAN = 60.0
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """In place."""
@@ -38,21 +41,34 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _exponentials(x: np.ndarray) -> np.ndarray:
-    """In place, over the row's greatest; the sums of rows."""
-    x -= x.max(1, keepdims=True)
+def _shifted(weight: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Biases (..., members) less what no score exceeds, as states lie within -1 and 1; and whether every row's greatest stays over -SPAN.
+
+    Where it does, exponentials neither overflow nor all vanish, and rows need not be
+    searched for their greatest score.
+    """
+    reach = np.abs(weight).sum(-2)
+    most = (bias + reach).max(-1, keepdims=True)
+    return bias - most, ((bias - reach).max(-1) - most[..., 0] > -SPAN)
+
+
+def _exponentials(x: np.ndarray, near: bool) -> np.ndarray:
+    """In place, over the row's greatest unless that is near; the sums of rows."""
+    if not near:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _log_share(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    """Log of the softmax at pick, row by row, in blocks."""
+def _log_share(h: np.ndarray, weight: np.ndarray, bias: np.ndarray, near: bool, pick: np.ndarray) -> np.ndarray:
+    """Log of the softmax at pick, row by row, in blocks; bias and near as _shifted() gives them."""
     out = np.empty(len(h), h.dtype)
     for i in range(0, len(h), BLOCK):
         x = h[i : i + BLOCK] @ weight
         x += bias
         rows, want = np.arange(len(x)), pick[i : i + BLOCK]
-        x -= x.max(1, keepdims=True)
+        if not near:
+            x -= x.max(1, keepdims=True)
         got = x[rows, want]
         np.exp(x, out=x)
         out[i : i + BLOCK] = got - np.log(x @ np.ones(x.shape[1], x.dtype))
@@ -109,12 +125,13 @@ def _by_class(target: np.ndarray, per: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(kind[at[0]]), at
 
 
-def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of class times member probability, for states h and the words that follow."""
+def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray, shifted: tuple) -> np.ndarray:
+    """Natural log of class times member probability, for states h and the words that follow; shifted: those of classes and members."""
     per = p["wb"].shape[1]
-    out = _log_share(h, p["c"], p["cb"], target // per)
+    (cb, c_near), (wb, w_near) = shifted
+    out = _log_share(h, p["c"], cb, bool(c_near), target // per)
     for k, at in _by_class(target, per):
-        out[at] += _log_share(h[at], p["w"][k], p["wb"][k], target[at] % per)
+        out[at] += _log_share(h[at], p["w"][k], wb[k], bool(w_near[k]), target[at] % per)
     return out
 
 
@@ -183,22 +200,23 @@ def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real:
     flat, want = hs[1:].reshape(-1, n), tgt.reshape(-1)
     weight = (real.reshape(-1) / max(1, int(real.sum()))).astype(kind)
 
-    def error(scores: np.ndarray, pick: np.ndarray, share: np.ndarray) -> np.ndarray:
+    def error(scores: np.ndarray, near: bool, pick: np.ndarray, share: np.ndarray) -> np.ndarray:
         """Scores to the gradient of their loss, in place."""
-        scores *= (share / _exponentials(scores))[:, None]
+        scores *= (share / _exponentials(scores, near))[:, None]
         scores[np.arange(len(scores)), pick] -= share
         return scores
 
+    (cb, c_near), (wb, w_near) = _shifted(p["c"], p["cb"]), _shifted(p["w"], p["wb"])
     d = flat @ p["c"]
-    d += p["cb"]
-    d = error(d, want // per, weight)
+    d += cb
+    d = error(d, bool(c_near), want // per, weight)
     grad = {"c": flat.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
     dh = d @ p["c"].T
     for k, at in _by_class(want, per):
         rows = flat[at]
         q = rows @ p["w"][k]
-        q += p["wb"][k]
-        q = error(q, want[at] % per, weight[at])
+        q += wb[k]
+        q = error(q, bool(w_near[k]), want[at] % per, weight[at])
         grad["w"][k], grad["wb"][k] = rows.T @ q, q.sum(0)
         dh[at] += q @ p["w"][k].T
     dh = dh.reshape(len(tgt), width, n)
@@ -221,8 +239,12 @@ def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real:
     grad["u"] = np.concatenate([one[0] for one in held]).T @ dg.reshape(-1, 3 * n)
     dx = dx.reshape(-1, 3 * n)
     grad["b"] = dx.sum(0)
-    cells = inp.reshape(-1, 1) * (3 * n) + np.arange(3 * n)
-    grad["e"] = np.bincount(cells.reshape(-1), dx.reshape(-1), p["e"].size).astype(kind).reshape(-1, 3 * n)
+    word = inp.reshape(-1)
+    order = np.argsort(word.astype(np.int16) if len(p["e"]) <= 1 << 15 else word, kind="stable")
+    ranked = word[order]
+    lead = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    grad["e"] = np.zeros_like(p["e"])
+    grad["e"][ranked[lead]] = np.add.reduceat(dx[order], lead, axis=0)
     return grad, hs[-1]
 
 
@@ -246,6 +268,7 @@ def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """
     p = model.p
     n, start = len(p["u"]), len(p["e"]) - 1
+    shifted = _shifted(p["c"], p["cb"]), _shifted(p["w"], p["wb"])
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     lengths = np.array([len(texts[i]) for i in order], np.int64)
     out = np.zeros(len(texts))
@@ -265,7 +288,7 @@ def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
         want.append(prev)
         waiting += live
         if waiting >= GATHERED or t + 1 == len(live_at):
-            got = _log_probabilities(p, np.concatenate(hs), np.concatenate(want))
+            got = _log_probabilities(p, np.concatenate(hs), np.concatenate(want), shifted)
             lane = np.concatenate([np.arange(len(w)) for w in want])
             sums = np.bincount(lane, weights=got)
             out[: len(sums)] += sums

@@ -490,3 +490,21 @@ def test_folds_are_crc32(spark):
 
 def test_registry_names():
     assert {n.split("_")[0] for n in registry.QUERIES if n != "quality_ablation"} == {f"op{i}" for i in range(1, 11)}
+
+
+@pytest.mark.parametrize("size", [0.05, 40.0])
+def test_softmax_without_a_search_for_the_greatest_score(size):
+    rng = np.random.default_rng(5)
+    h = rng.uniform(-1, 1, (300, 8)).astype(np.float32)
+    weight, bias = (rng.standard_normal((8, 20)) * size).astype(np.float32), rng.standard_normal(20).astype(np.float32)
+    bias[3] = lm._NEVER
+    shifted, near = lm._shifted(weight, bias)
+    assert bool(near) == (size < 1)  # of large weights every row is searched
+    scores = h.astype(float) @ weight + bias
+    want = scores - scores.max(1, keepdims=True)
+    want -= np.log(np.exp(want).sum(1, keepdims=True))
+    pick = np.where((at := rng.integers(0, 20, 300)) == 3, 4, at)
+    assert lm._log_share(h, weight, shifted, bool(near), pick) == pytest.approx(want[np.arange(300), pick], rel=1e-4, abs=1e-4)
+    x = (h @ weight + shifted).astype(np.float32)
+    total = lm._exponentials(x, bool(near))
+    assert x / total[:, None] == pytest.approx(np.exp(want), abs=1e-5)
