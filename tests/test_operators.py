@@ -266,6 +266,28 @@ def test_trees_read_their_rows_in_parts(spark, monkeypatch):
     assert got.count() == 2000 and L.in_parts(rows).rdd.getNumPartitions() >= 20
 
 
+def test_page_rank_reads_many_edges_in_a_row(spark, monkeypatch):
+    monkeypatch.setattr(session, "LISTED", 7)
+    rng = random.Random(5)
+    rows = [(0, i) for i in range(1, 60)] + [(rng.randint(1, 80), rng.randint(0, 80)) for _ in range(150)]
+    edges = spark.createDataFrame([*rows, *rows[:9], (None, 1), (1, None)], "s int, d int")
+    held = session.listed(edges.dropna(), 3, "s", "d").collect()
+    assert sorted((r["s"], d) for r in held for d in r["d"]) == sorted(set(rows))
+    assert max(len(r["d"]) for r in held) == 7 and len(held) < len(set(rows))  # a hub is many rows
+    outs, nodes = {}, {n for e in rows for n in e}
+    for s, d in set(rows):
+        outs.setdefault(s, set()).add(d)
+    ranks = dict.fromkeys(nodes, 1 / len(nodes))
+    for _ in range(4):
+        loose = sum(r for n, r in ranks.items() if n not in outs)
+        got = dict.fromkeys(nodes, 0.0)
+        for s, ds in outs.items():
+            for d in ds:
+                got[d] += ranks[s] / len(ds)
+        ranks = {n: 0.15 / len(nodes) + 0.85 * (g + loose / len(nodes)) for n, g in got.items()}
+    assert {r["node"]: r["rank"] for r in L.page_rank(edges, "s", "d", 4).collect()} == pytest.approx(ranks)
+
+
 def test_joins_of_all_customers(spark, sf_dir):
     left = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_nationkey < 20")
     want = {r["c_custkey"] for r in left.collect()}
