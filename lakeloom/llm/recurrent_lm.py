@@ -13,7 +13,6 @@ Functions take their sizes from the parameters, so a small model works as well.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,19 +25,33 @@ START = VOCABULARY + SHAPES  # what stands before the first word
 #: Rows of which scores are taken at once (they fit a core's cache), and rows gathered before that.
 BLOCK, GATHERED = 2048, 32_768
 
+#: Weights that are updated at once.
+PIECE = 16_384
+
 _NEVER = -1e9
 
+#: Where gates are cut before their exponentials, which end at 88: they are 0 or 1 in 32 bits long before.
+MOST = np.float32(80.0)
+
 #: How far under its bound a row's greatest score may lie before the row is searched for it (32-bit exponentials end at -87).
 SPAN = 60.0
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x += 1
-    x *= 0.5
-    return x
+def _planes(x: np.ndarray) -> np.ndarray:
+    """(rows, 3n) of the gates as (3, rows, n), each gate's rows side by side, and scaled so that _step() has their exponentials."""
+    n = x.shape[1] // 3
+    out = np.ascontiguousarray(x.reshape(len(x), 3, n).transpose(1, 0, 2))
+    out[:2] *= -1
+    out[2] *= 2
+    return out
+
+
+def _taken(inputs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """(3, words, n): the inputs of words, from planes."""
+    out = np.empty((3, *words.shape, inputs.shape[2]), inputs.dtype)
+    for of, to in zip(inputs, out):
+        np.take(of, words, axis=0, out=to, mode="clip")
+    return out
 
 
 def _shifted(weight: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,26 +116,35 @@ def new_model(word_counts: np.ndarray, shape_counts: np.ndarray, seed: int = 11)
     return Model({k: v.astype(np.float32) for k, v in p.items()})
 
 
-def _step(u: np.ndarray, x: np.ndarray, h: np.ndarray) -> tuple:
-    """The next state from x (inputs with bias) and state h; and what the way back needs."""
-    n = len(u)
-    g = h @ u
-    zr = _sigmoid(x[:, : 2 * n] + g[:, : 2 * n])
-    z, r = zr[:, :n], zr[:, n:]
-    c = r * g[:, 2 * n :]
-    c += x[:, 2 * n :]
-    np.tanh(c, out=c)
-    return c + z * (h - c), z, r, c, g[:, 2 * n :]
-
-
-def _by_class(target: np.ndarray, per: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of words, class by class."""
+def _step(u: np.ndarray, x: np.ndarray, h: np.ndarray, out: np.ndarray) -> tuple:
+    """The next state, into out, from x (inputs with bias, in planes as u) and state h; and what the way back needs."""
+    g = np.matmul(h, u)
+    zr = x[:2] + g[:2]
+    np.minimum(zr, MOST, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    z, r = zr
+    c = r * g[2]
+    c += x[2]
+    np.minimum(c, MOST, out=c)
+    np.exp(c, out=c)
+    c += 1
+    np.divide(-2, c, out=c)
+    c += 1
+    np.subtract(h, c, out=out)
+    out *= z
+    out += c
+    return z, r, c, g[2]  # the last is doubled, as u is
+
+
+def _by_class(target: np.ndarray, per: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of words by class, and each class with its first and last place in it."""
     kind = (target // per).astype(np.int16)
     order = np.argsort(kind, kind="stable")
     ranked = kind[order]
-    cut = np.flatnonzero(ranked[1:] != ranked[:-1]) + 1
-    for at in np.split(order, cut) if len(order) else []:
-        yield int(kind[at[0]]), at
+    cut = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(order) else np.zeros(0, np.int64)
+    return order, list(zip(ranked[cut].tolist(), cut.tolist(), np.append(cut[1:], len(order)).tolist()))
 
 
 def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray, shifted: tuple) -> np.ndarray:
@@ -130,8 +152,11 @@ def _log_probabilities(p: dict, h: np.ndarray, target: np.ndarray, shifted: tupl
     per = p["wb"].shape[1]
     (cb, c_near), (wb, w_near) = shifted
     out = _log_share(h, p["c"], cb, bool(c_near), target // per)
-    for k, at in _by_class(target, per):
-        out[at] += _log_share(h[at], p["w"][k], wb[k], bool(w_near[k]), target[at] % per)
+    order, cuts = _by_class(target, per)
+    rows, pick, more = h[order], (target % per)[order], np.empty_like(out)
+    for k, i, j in cuts:
+        more[i:j] = _log_share(rows[i:j], p["w"][k], wb[k], bool(w_near[k]), pick[i:j])
+    out[order] += more
     return out
 
 
@@ -164,21 +189,23 @@ class Trainer:
         clip = np.float32(min(1.0, 1.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) + 1e-9)))
         self.updates += 1
         one, two = np.float32(speed / (1 - 0.9**self.updates)), np.float32(1 / (1 - 0.99**self.updates))
-        for k, g in grad.items():
-            g *= clip
-            m1, m2 = self.m1[k], self.m2[k]
-            m1 *= np.float32(0.9)
-            m1 += np.float32(0.1) * g
-            m2 *= np.float32(0.99)
-            g *= g
-            g *= np.float32(0.01)
-            m2 += g
-            np.multiply(m2, two, out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-6)
-            np.divide(m1, g, out=g)
-            g *= one
-            self.p[k] -= g
+        for k in grad:
+            whole = [x.reshape(-1) for x in (self.p[k], np.ascontiguousarray(grad[k]), self.m1[k], self.m2[k])]
+            for i in range(0, whole[0].size, PIECE):
+                p, g, m1, m2 = (x[i : i + PIECE] for x in whole)
+                g *= clip
+                m1 *= np.float32(0.9)
+                m1 += np.float32(0.1) * g
+                m2 *= np.float32(0.99)
+                g *= g
+                g *= np.float32(0.01)
+                m2 += g
+                np.multiply(m2, two, out=g)
+                np.sqrt(g, out=g)
+                g += np.float32(1e-6)
+                np.divide(m1, g, out=g)
+                g *= one
+                p -= g
 
 
 def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -188,15 +215,14 @@ def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real:
     that are not real have no weight; a lane starts anew where its input is START.
     """
     n, kind, width, per = len(p["u"]), p["u"].dtype, tgt.shape[1], p["wb"].shape[1]
-    x = (p["e"] + p["b"])[inp]
+    u, x = _planes(p["u"]), _taken(_planes(p["e"] + p["b"]), inp)
     starts = inp == len(p["e"]) - 1
     fresh = starts.any(1)
     held, hs = [], np.empty((len(tgt) + 1, width, n), kind)
     hs[0] = h
     for t in range(len(tgt)):
         before = hs[t] * ~starts[t][:, None] if fresh[t] else hs[t]
-        hs[t + 1], z, r, c, gc = _step(p["u"], x[t], before)
-        held.append((before, z, r, c, gc))
+        held.append((before, *_step(u, x[:, t], before, hs[t + 1])))
     flat, want = hs[1:].reshape(-1, n), tgt.reshape(-1)
     weight = (real.reshape(-1) / max(1, int(real.sum()))).astype(kind)
 
@@ -207,44 +233,61 @@ def gradients(p: dict[str, np.ndarray], tgt: np.ndarray, inp: np.ndarray, real:
         return scores
 
     (cb, c_near), (wb, w_near) = _shifted(p["c"], p["cb"]), _shifted(p["w"], p["wb"])
-    d = flat @ p["c"]
-    d += cb
-    d = error(d, bool(c_near), want // per, weight)
-    grad = {"c": flat.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-    dh = d @ p["c"].T
-    for k, at in _by_class(want, per):
-        rows = flat[at]
-        q = rows @ p["w"][k]
+    grad, dh = {k: np.zeros_like(p[k]) for k in ("c", "cb", "w", "wb")}, np.empty_like(flat)
+    ct, kinds = np.ascontiguousarray(p["c"].T), want // per
+    for i in range(0, len(flat), BLOCK):
+        rows = flat[i : i + BLOCK]
+        d = rows @ p["c"]
+        d += cb
+        d = error(d, bool(c_near), kinds[i : i + BLOCK], weight[i : i + BLOCK])
+        grad["c"] += rows.T @ d
+        grad["cb"] += d.sum(0)
+        np.matmul(d, ct, out=dh[i : i + BLOCK])
+    order, cuts = _by_class(want, per)
+    rows, pick, share, more = flat[order], (want % per)[order], weight[order], np.empty_like(flat)
+    for k, i, j in cuts:
+        q = rows[i:j] @ p["w"][k]
         q += wb[k]
-        q = error(q, bool(w_near[k]), want[at] % per, weight[at])
-        grad["w"][k], grad["wb"][k] = rows.T @ q, q.sum(0)
-        dh[at] += q @ p["w"][k].T
+        q = error(q, bool(w_near[k]), pick[i:j], share[i:j])
+        np.matmul(rows[i:j].T, q, out=grad["w"][k])
+        np.sum(q, axis=0, out=grad["wb"][k])
+        np.matmul(q, p["w"][k].T, out=more[i:j])
+    dh[order] += more
     dh = dh.reshape(len(tgt), width, n)
     carry = np.zeros((width, n), kind)
-    dx, dg = np.empty((2, len(tgt), width, 3 * n), kind)
+    # the errors of c, z, r and of what r lets through to c: inputs take the first three, the state the last three
+    back = np.empty((len(tgt), width, 4 * n), kind)
     ut = np.ascontiguousarray(p["u"].T)
     for t in range(len(tgt) - 1, -1, -1):
         before, z, r, c, gc = held[t]
         g = dh[t] + carry
-        dc = g * (1 - z) * (1 - c * c)
-        dx[t, :, :n] = g * (before - c) * z * (1 - z)
-        dx[t, :, n : 2 * n] = dc * gc * r * (1 - r)
-        dx[t, :, 2 * n :] = dc
-        dg[t, :, : 2 * n] = dx[t, :, : 2 * n]
-        np.multiply(dc, r, out=dg[t, :, 2 * n :])
-        carry = dg[t] @ ut
-        carry += g * z
+        gz = g * z
+        dc = c * c
+        np.subtract(1, dc, out=dc)
+        dc *= g - gz
+        back[t, :, :n] = dc
+        dz = before - c
+        dz *= gz
+        dz *= 1 - z
+        back[t, :, n : 2 * n] = dz
+        dc *= r
+        back[t, :, 3 * n :] = dc
+        dc *= gc
+        dc *= np.subtract(1, r) * np.float32(0.5)
+        back[t, :, 2 * n : 3 * n] = dc
+        carry = back[t, :, n:] @ ut
+        carry += gz
         if fresh[t]:
             carry[starts[t]] = 0
-    grad["u"] = np.concatenate([one[0] for one in held]).T @ dg.reshape(-1, 3 * n)
-    dx = dx.reshape(-1, 3 * n)
-    grad["b"] = dx.sum(0)
+    back = back.reshape(-1, 4 * n)
+    grad["u"] = np.concatenate([one[0] for one in held]).T @ back[:, n:]
     word = inp.reshape(-1)
     order = np.argsort(word.astype(np.int16) if len(p["e"]) <= 1 << 15 else word, kind="stable")
     ranked = word[order]
     lead = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     grad["e"] = np.zeros_like(p["e"])
-    grad["e"][ranked[lead]] = np.add.reduceat(dx[order], lead, axis=0)
+    sums = np.roll(np.add.reduceat(back[:, : 3 * n][order], lead, axis=0), -n, axis=1)
+    grad["e"][ranked[lead]], grad["b"] = sums, sums.sum(0)
     return grad, hs[-1]
 
 
@@ -263,8 +306,8 @@ def unpacked(row: np.ndarray, like: Model) -> Model:
 def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Log10 of class and member probabilities of each text; all texts advance together.
 
-    The state goes on from window to window; a window ends when GATHERED states wait
-    for their scores.
+    The state goes on from window to window; a window has about GATHERED states, whose
+    scores are taken together.
     """
     p = model.p
     n, start = len(p["u"]), len(p["e"]) - 1
@@ -274,25 +317,28 @@ def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(texts))
     base = np.concatenate([[0], np.cumsum(lengths)])
     flow = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int64)
-    inputs = p["e"] + p["b"]
+    u, inputs = _planes(p["u"]), _planes(p["e"] + p["b"])
+    live = np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=0))), "left")  # texts longer than t
+    # words step by step, after what stands before each text; a step's words follow at[t]
+    at = np.concatenate([[0], np.cumsum(live)])
+    lane = np.repeat(np.arange(len(order)), lengths)
+    words = np.full(len(texts) + len(flow), start)
+    words[len(texts) + at[np.arange(len(flow)) - base[lane]] + lane] = flow
+    before = np.concatenate([[0], len(texts) + at[:-1]])
     h = np.zeros((len(texts), n), p["u"].dtype)
-    prev = np.full(len(texts), start)
-    hs: list[np.ndarray] = []
-    want: list[np.ndarray] = []
-    waiting = 0
-    live_at = np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=0))), "left")  # texts longer than t
-    for t, live in enumerate(live_at.tolist()):
-        h = _step(p["u"], inputs[prev[:live]], h[:live])[0]
-        prev = flow[base[:live] + t]
-        hs.append(h)
-        want.append(prev)
-        waiting += live
-        if waiting >= GATHERED or t + 1 == len(live_at):
-            got = _log_probabilities(p, np.concatenate(hs), np.concatenate(want), shifted)
-            lane = np.concatenate([np.arange(len(w)) for w in want])
-            sums = np.bincount(lane, weights=got)
-            out[: len(sums)] += sums
-            hs, want, waiting = [], [], 0
+    t0 = 0
+    while t0 < len(live):
+        t1 = max(t0 + 1, min(len(live), int(np.searchsorted(at, at[t0] + GATHERED))))
+        a, b, many = at[t0], at[t1], live[t0:t1]
+        lane = np.arange(a, b) - np.repeat(at[t0:t1], many)
+        x = _taken(inputs, words[np.repeat(before[t0:t1], many) + lane])
+        hs = np.empty((b - a, n), h.dtype)
+        for i, m in zip((at[t0:t1] - a).tolist(), many.tolist()):
+            _step(u, x[:, i : i + m], h[:m], hs[i : i + m])
+            h = hs[i : i + m]
+        sums = np.bincount(lane, weights=_log_probabilities(p, hs, words[len(texts) + a : len(texts) + b], shifted))
+        out[: len(sums)] += sums
+        t0 = t1
     back = np.zeros(len(texts))
     back[order] = out / np.log(10)
     return back

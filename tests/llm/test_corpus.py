@@ -508,3 +508,19 @@ def test_softmax_without_a_search_for_the_greatest_score(size):
     x = (h @ weight + shifted).astype(np.float32)
     total = lm._exponentials(x, bool(near))
     assert x / total[:, None] == pytest.approx(np.exp(want), abs=1e-5)
+
+
+def test_gates_at_their_ends_and_texts_of_many_lengths():
+    """Steps over planes against the gates as written; far scores neither overflow nor warn."""
+    rng, n = np.random.default_rng(4), 5
+    u, x, h = rng.standard_normal((n, 3 * n)).astype(np.float32), (rng.standard_normal((40, 3 * n)) * 60).astype(np.float32), rng.uniform(-1, 1, (40, n)).astype(np.float32)
+    g = (h @ u).astype(float)
+    z, r = (0.5 + 0.5 * np.tanh((x + g)[:, i * n : (i + 1) * n] / 2) for i in (0, 1))
+    c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
+    out = np.empty_like(h)
+    with np.errstate(all="raise", under="ignore"):
+        lm._step(lm._planes(u), lm._planes(x), h, out)
+    assert np.allclose(out, z * h + (1 - z) * c, atol=1e-5)
+    model = lm.new_model(np.arange(lm.VOCABULARY, 0, -1.0), np.ones(lm.SHAPES))
+    texts = [rng.integers(0, lm.START, k) for k in (3, 0, 700, 1, 40, 40, 9)]
+    assert np.allclose(lm.log10_likelihood(model, texts), [lm.log10_likelihood(model, [t])[0] for t in texts], rtol=1e-5, atol=1e-3)
