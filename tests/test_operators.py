@@ -266,6 +266,22 @@ def test_trees_read_their_rows_in_parts(spark, monkeypatch):
     assert got.count() == 2000 and L.in_parts(rows).rdd.getNumPartitions() >= 20
 
 
+def test_triangles_of_repeated_edges_are_met_without_sorting_what_is_sent(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    rng = random.Random(8)
+    rows = [(rng.randint(1, 30), rng.randint(1, 30)) for _ in range(150)]
+    rows += rows[:40] * 5 + [(b, a) for a, b in rows[:60]] + [(None, 1), (1, None), (None, None), (7, 7)]
+    near = collections.defaultdict(set)
+    for a, b in rows:
+        if a is not None and b is not None and a != b:
+            near[a].add(b), near[b].add(a)
+    through = {v: sum(b in near[a] for a in near[v] for b in near[v]) // 2 for v in near}
+    got = L.triangles(spark.createDataFrame(rows, "s int, d long"), "s", "d")
+    assert {r["node"]: r["triangles"] for r in got.collect()} == {v: n for v, n in through.items() if n}
+    plan = got._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_page_rank_reads_many_edges_in_a_row(spark, monkeypatch):
     monkeypatch.setattr(session, "LISTED", 7)
     rng = random.Random(5)
