@@ -344,6 +344,17 @@ def test_salted_join_repeats_right_rows_no_more_often_than_there_are_tasks(spark
     assert R.salted_join(left, right, "k", "outer", per=10).count() == 600_000
 
 
+def test_salted_join_repeats_no_right_row_of_a_key_that_is_not_hot(spark):
+    left = spark.range(1000).select(F.when(F.col("id") < 600, F.col("id")).when(F.col("id") < 700, F.lit(7)).alias("k"), "id")
+    right = spark.range(650).select(F.col("id").alias("k"), F.col("id").alias("r"))
+    hot = left.dropna().groupBy(F.col("k").alias("_k0")).agg(F.ceil(F.count("*") / 20).cast("int").alias("_n")).where("_n > 1")
+    a, b = R._dealt(left, right, [("k", "k")], hot)
+    salts = {r["k"]: r["n"] for r in a.groupBy("k").agg(F.countDistinct("_salt").alias("n")).collect()}
+    assert salts.pop(7) == 6 and salts.pop(None) > 6 and set(salts.values()) == {1}  # 101 rows, 300 rows without a key, single rows
+    assert b.count() == 650 + 5 and b.where("k <> 7").agg(F.max("_salt")).first()[0] == 0
+    assert values(R.salted_join(left, right, "k", "outer", per=20)) == values(left.join(right, "k", "outer"))
+
+
 def test_curves_of_scores_with_an_outlier(spark):
     rng = random.Random(8)
     rows = [(rng.randint(0, 1), rng.choice([rng.random(), round(rng.random(), 1), 1e12 if rng.random() < 0.01 else 0.5])) for _ in range(500)] + [(1, None), (None, 0.25)]
