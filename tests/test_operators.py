@@ -355,6 +355,40 @@ def test_salted_join_repeats_no_right_row_of_a_key_that_is_not_hot(spark):
     assert values(R.salted_join(left, right, "k", "outer", per=20)) == values(left.join(right, "k", "outer"))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_join_in_blocks_by_keys_of_other_names(spark, how):
+    left = spark.createDataFrame([(i % 3, "a" if i % 2 else None, i) for i in range(700)] + [(8, "a", -1), (9, "b", -2)], "k int, s string, v int")
+    right = spark.createDataFrame([(i % 3, "a", i / 2) for i in range(600)] + [(8, "a", -0.0), (7, None, 1.0), (None, "a", 2.0)], "k long, t string, w double")
+    plain = R.join(left, right, ["k", ("s", "t")], how)
+    got = R.join(left, right, ["k", ("s", "t")], how, spread=10_000)
+    assert got.schema.simpleString() == plain.schema.simpleString()
+    assert values(got.groupBy(*got.columns).count()) == values(plain.groupBy(*plain.columns).count())
+    assert got.where("w = 0").count() == plain.where("w = 0").count() > 0
+
+
+def test_join_deals_left_rows_that_meet_none(spark):
+    left = spark.range(5000).select(F.lit(1).alias("k"), "id")
+    right = spark.range(10).select(F.lit(2).alias("k"), F.col("id").alias("r"))
+    hot = R._heavy(left, right, [("k", "k")], 1000)
+    a, b = R._dealt(left, right, [("k", "k")], hot)
+    assert a.select("_salt").distinct().count() == 5 and b.count() == 10
+    assert R.join(left, right, "k", "left", spread=1000).where("r IS NULL").count() == 5000
+
+
+def test_pairs_of_hot_keys_are_written_small(spark, tmp_path):
+    left = spark.range(1500).select(F.lit(1).alias("k"), (F.col("id") * 7919).alias("id"), F.format_string("left %09d", F.col("id") * 7919).alias("name"))
+    right = spark.range(1501).select(F.lit(1).alias("k"), (F.col("id") * 104_729).alias("sid"), F.format_string("right %09d", F.col("id") * 104_729).alias("name"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as larger sides would be joined
+    try:
+        R.join(left, right, "k", "right", merge=True, spread=100_000).write.parquet(str(tmp_path / "pairs"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    back = spark.read.parquet(str(tmp_path / "pairs"))
+    assert back.count() == back.distinct().count() == 1500 * 1501
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < 0.6 * 1500 * 1501
+
+
 def test_curves_of_scores_with_an_outlier(spark):
     rng = random.Random(8)
     rows = [(rng.randint(0, 1), rng.choice([rng.random(), round(rng.random(), 1), 1e12 if rng.random() < 0.01 else 0.5])) for _ in range(500)] + [(1, None), (None, 0.25)]
